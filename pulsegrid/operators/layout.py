@@ -1,0 +1,10 @@
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def at_least(df: DataFrame, partitions: int) -> DataFrame:
+    """Spread rows that come from few file splits over more tasks before heavy work; larger inputs stay as they are."""
+    if df.rdd.getNumPartitions() >= partitions:
+        return df
+    return df.repartition(partitions)

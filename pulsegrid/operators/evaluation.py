@@ -29,7 +29,8 @@ def with_time_norm(df: DataFrame, time: str = TIME_COLUMN, per: str | None = Non
         joined = join_grouped(df, bounds, [per])
         scaled = min_max_scaled(*[F.col(c).cast("double") for c in (time, "_lo", "_hi")])
         return joined.withColumn("time_norm", scaled).drop("_lo", "_hi")
-    bounds = value_range(df, time).select(F.struct(F.col("lo").cast("double"), F.col("hi").cast("double"))).scalar()
+    lo, hi = (F.col(c).cast("double").alias(c) for c in ("lo", "hi"))
+    bounds = value_range(df, time).select(F.struct(lo, hi)).scalar()
     scaled = min_max_scaled(F.col(time).cast("double"), bounds["lo"], bounds["hi"])
     return df.withColumn("time_norm", scaled)
 
@@ -75,7 +76,8 @@ def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model
     )
     shares = [i / _SCORE_RANGES for i in range(1, _SCORE_RANGES)]
     edges = known.agg(F.array_distinct(F.percentile_approx(score, shares)).alias("edges")).scalar()
-    counts = counts.withColumn("_range", F.size(F.filter(edges, lambda e: e < F.col("_score"))))
+    counts = counts.withColumn("_edges", edges)
+    counts = counts.withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col("_score")))).drop("_edges")
 
     positive, negative = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
     lower = Window.partitionBy(*by, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)

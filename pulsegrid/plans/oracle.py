@@ -209,7 +209,7 @@ shuffled as (select *, row_number() over w as place, coalesce(sum(size) over (w
     and 1 preceding), 0)::bigint as before from files window w as (order by md5('42|' || file_name), file_name))"""
 
 COPIES = FILES + """, rounds as (
-  select file_name as source_name, size, c as copy from shuffled, total, range(1, 10) r(c)
+  select file_name as source_name, size, c::int as copy from shuffled, total, range(1, 10) r(c)
   where total + (c - 1) * total + before < floor(total * 2.5::double)::bigint
   union all select file_name, size, 0 from files),
 copies as (select case when copy > 0 then 'copy' || copy || '_' || source_name else source_name end as file_name,
@@ -285,7 +285,7 @@ select file_name, size from walk where taken"""
   stats as (select model, min(residual) as lo, max(residual) as hi,
     stddev_samp(residual) * pow(count(*), -0.2::double) as h from residuals group by model),
   mass as (select model, p as point, lo, hi, h,
-    sum(exp(-((lo + p * ((hi - lo) / 199) - residual) / h) ** 2 / 2)) as mass
+    sum(exp(-0.5::double * pow((lo + p * ((hi - lo) / 199) - residual) / h, 2))) as mass
     from residuals join stats using (model), range(200) t(p) group by model, p, lo, hi, h)
   select model, point::int as point, round(lo + point * ((hi - lo) / 199), 6) as x,
     round(mass / (h * sqrt(2 * pi())) * ((hi - lo) / 60), 4) as height from mass"""
@@ -355,7 +355,7 @@ select file_name, size from walk where taken"""
         "proc_time_sliding": f"""with {EMISSIONS} select round(lat, 3) as lat, round(lon, 3) as lon,
           count(*) as total_records, count(distinct vehicle_id) as unique_vehicles,
           round(avg(speed), 2) as avg_speed_ms, 'sliding' as window_type, '2 days' as window_duration,
-          'all' as vehicle_filter, 2 as windows from emissions group by round(lat, 3), round(lon, 3)""",
+          'all' as vehicle_filter, 2::bigint as windows from emissions group by round(lat, 3), round(lon, 3)""",
         "pollution_json_roundtrip": f"with {EMISSIONS}, {DAILY}, {pollution('tumbling', '1 day', ['CO2', 'noise'])} "
                                     "select * from pollution",
         "traffic_json_roundtrip": f"{daily_traffic} select * from traffic",

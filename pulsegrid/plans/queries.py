@@ -129,7 +129,7 @@ def vitals_csv_scan(spark, sf_dir):
     path = shared_dir(spark, "recordings")
     raw = raw_vitals(spark, sf_dir).drop("case_name")
     raw.write.option("header", "true").csv(path)
-    rows = cleaning.rename_signals(read_vitals(spark, path).drop("case_name", "case_id"))
+    rows = cleaning.rename_signals(read_vitals(spark, path, text=("row_key",)).drop("case_name", "case_id"))
     return rows.select("row_key", "Time", "HR", "NBP_Sys", "Set_IE_ratio", "Alarm_1")
 
 

@@ -8,20 +8,21 @@ from pulsegrid.functions.text import case_id
 from pulsegrid.schemas import vitals_schema
 
 
-def header_schema(spark: SparkSession, path: str, **options: str) -> T.StructType:
+def header_schema(spark: SparkSession, path: str, text: tuple[str, ...] = (), **options: str) -> T.StructType:
     """Schema with the columns of the file header, typed by name.
 
-    Only a header line is read. Clock times, ratios and alarm texts stay text, every other signal is a double.
+    Only a header line is read. Clock times, ratios, alarms and the columns named in ``text`` stay text, every other
+    signal is a double.
     """
     names = spark.read.options(header="true", **options).csv(path).columns
-    known = {f.name: f.dataType for f in vitals_schema().fields}
+    known = {f.name: f.dataType for f in vitals_schema(list(text)).fields}
     return T.StructType([
         T.StructField(n, T.StringType() if n.startswith("Alarm") else known.get(n, T.DoubleType())) for n in names
     ])
 
 
 def read_vitals(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                recursive: bool = False, pattern: str | None = None) -> DataFrame:
+                recursive: bool = False, pattern: str | None = None, text: tuple[str, ...] = ()) -> DataFrame:
     """Recording files by glob, with the file each row came from.
 
     Types are never inferred: that would read everything twice and takes clock texts for timestamps. With
@@ -32,7 +33,7 @@ def read_vitals(spark: SparkSession, path: str, schema: T.StructType | None = No
         options["recursiveFileLookup"] = "true"
     if pattern:
         options["pathGlobFilter"] = pattern
-    reader = spark.read.schema(schema or header_schema(spark, path, **options))
+    reader = spark.read.schema(schema or header_schema(spark, path, text, **options))
     rows = reader.options(header="true", enforceSchema="false", **options).csv(path)
     return rows.select("*", F.col("_metadata.file_name").alias("case_name")).withColumn(
         "case_id", case_id(F.col("case_name")))

@@ -19,8 +19,6 @@ TEMPORAL_SEGMENTS = {
 }
 FULL_SEGMENT = "full_test"
 
-_SCORE_RANGES = 256
-
 
 def with_time_norm(df: DataFrame, time: str = TIME_COLUMN, per: str | None = None) -> DataFrame:
     """Time scaled to [0, 1] over the whole table, or over each group when ``per`` names one."""
@@ -59,12 +57,12 @@ def by_segment(df: DataFrame, **options) -> DataFrame:
 
 def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model", "segment"),
                            label: str = CLASS_LABEL, prediction: str = "prediction",
-                           score: str = "probability", digits: int | None = 4) -> DataFrame:
+                           score: str = "probability", digits: int | None = 4, fan_out: int = 16) -> DataFrame:
     """Area under the ROC curve, accuracy and weighted F1, precision and recall per group of binary predictions.
 
     Rows collapse to counts per distinct score inside the scan tasks. The area is the exact rank sum over distinct
-    scores: the scores are cut into ranges of about equal size, ranked inside each range in parallel, and only one
-    row per range is put in order across a group.
+    scores: the scores are cut into ``fan_out`` squared ranges of about equal size, ranked inside each range in
+    parallel, and only one row per range is put in order across a group.
     """
     known = predictions.filter(F.col(label).isNotNull())
     actual, said = F.col(label) == 1, F.col(prediction) == 1
@@ -74,10 +72,10 @@ def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model
         F.count_if(~actual & ~said).alias("tn"),
         F.count_if(actual & ~said).alias("fn"),
     )
-    shares = [i / _SCORE_RANGES for i in range(1, _SCORE_RANGES)]
-    edges = known.agg(F.array_distinct(F.percentile_approx(score, shares)).alias("edges")).scalar()
+    shares = [i / fan_out**2 for i in range(1, fan_out**2)]
+    edges = known.agg(F.percentile_approx(score, shares).alias("edges")).scalar()
     counts = counts.withColumn("_edges", edges)
-    counts = counts.withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col("_score")))).drop("_edges")
+    counts = counts.withColumn("_range", _range_of("_score", "_edges", fan_out)).drop("_edges")
 
     positive, negative = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
     lower = Window.partitionBy(*by, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
@@ -102,6 +100,16 @@ def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model
     return totals.select(*by, n.cast("long").alias("n_rows"), *_rounded(values, digits))
 
 
+def _range_of(value: str, edges: str, step: int) -> Column:
+    """Number of sorted edges below a value: first among every ``step``-th edge, then among those behind the last hit."""
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda e: e < F.col(value)))
+
+    coarse = F.array(*[F.get(edges, F.lit(i - 1)) for i in range(step, step**2, step)])
+    start = below(coarse) * step
+    return start + below(F.slice(edges, start + 1, step - 1))
+
+
 def regression_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model", "segment"), label: str = REG_LABEL,
                        prediction: str = "prediction", digits: int | None = 4) -> DataFrame:
     """Root mean square error, mean absolute error and R² per group, from one aggregate."""

@@ -98,8 +98,13 @@ def scatter_bounds(points: DataFrame) -> DataFrame:
     )
 
 
-def residuals(predictions: DataFrame, models: list[str]) -> DataFrame:
-    known = known_predictions(predictions).filter(F.col("model").isin(models))
+def residuals(predictions: DataFrame, models: list[str], rows: int | None = None,
+              keys: list[str] | None = None) -> DataFrame:
+    """Prediction minus label; all rows, or a seeded sample of at most ``rows`` over all models."""
+    known = known_predictions(predictions)
+    if rows is not None:
+        known = capped_sample(known, rows, keys or ["model", "case_name", TIME_COLUMN])
+    known = known.filter(F.col("model").isin(models))
     residual = F.col("prediction").cast("double") - F.col(REG_LABEL).cast("double")
     return known.select("model", residual.alias("residual"))
 

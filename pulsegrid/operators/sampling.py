@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.hashing import bucket_of, digest
@@ -38,5 +38,17 @@ def hash_split(df: DataFrame, keys: list[str], shares: tuple[float, ...] = SPLIT
 
 
 def capped_sample(df: DataFrame, rows: int, keys: list[str], seed: int = 42) -> DataFrame:
-    """At most ``rows`` rows in seeded random order; every task keeps only that many candidates."""
-    return df.orderBy(digest(*keys, seed=seed), *keys).limit(rows)
+    """At most ``rows`` rows in seeded random order, the same ones whatever the layout of the input.
+
+    A table of row counts per leading 16 bits of the digest tells where the sample ends. Rows behind that point are
+    dropped while scanning, so the final top-k sees hardly more than the sample even when there are very many tasks.
+    """
+    marked = df.withColumn("_digest", digest(*keys, seed=seed))
+    marked = marked.withColumn("_prefix", F.substring("_digest", 1, 4))
+    # At most 65536 rows.
+    counts = marked.groupBy("_prefix").agg(F.count("*").alias("_rows"))
+    so_far = F.sum("_rows").over(Window.orderBy("_prefix"))
+    last = counts.select("_prefix", so_far.alias("_so_far")).agg(
+        F.min(F.when(F.col("_so_far") >= rows, F.col("_prefix"))).alias("last")).scalar()
+    nearest = marked.filter(F.col("_prefix") <= F.coalesce(last, F.lit("ffff")))
+    return nearest.orderBy("_digest", *keys).limit(rows).drop("_digest", "_prefix")

@@ -95,7 +95,9 @@ def report_tables(classification: DataFrame, regression: DataFrame, class_predic
     classes = class_predictions.select("*", full) if "segment" not in class_predictions.columns else class_predictions
     values = value_predictions.select("*", full) if "segment" not in value_predictions.columns else value_predictions
     class_models, value_models = reports.shown_models(classes), reports.shown_models(values)
-    points = reports.scatter_sample(values, sample_keys or ["model", "case_name", TIME_COLUMN])
+    keys = sample_keys or ["model", "case_name", TIME_COLUMN]
+    points = reports.scatter_sample(values, keys)
+    sampled = reports.residuals(values, value_models, reports.RESIDUAL_SAMPLE, keys)
     return {
         "classification_bars": reports.metric_bars(classification, reports.CLASSIFICATION_BARS, class_models),
         "regression_bars": reports.metric_bars(regression, reports.REGRESSION_BARS, value_models),
@@ -103,7 +105,7 @@ def report_tables(classification: DataFrame, regression: DataFrame, class_predic
         "scatter_points": points,
         "scatter_bounds": reports.scatter_bounds(points),
         "residual_histogram": reports.residual_histogram(values, value_models),
-        "residual_density": reports.density_curve(reports.residuals(values, value_models), "residual", "model"),
+        "residual_density": reports.density_curve(sampled, "residual", "model"),
         "longest_case_trace": reports.longest_case_trace(values),
         "probability_histogram": reports.probability_histogram(classes, class_models),
         "auc_by_segment": reports.auc_by_segment(classification),

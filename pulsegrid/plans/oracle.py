@@ -290,6 +290,9 @@ select file_name, size from walk where taken"""
   select model, point::int as point, round(lo + point * ((hi - lo) / 199), 6) as x,
     round(mass / (h * sqrt(2 * pi())) * ((hi - lo) / 60), 4) as height from mass"""
 
+    sampled_density = density.replace("from value_predictions)", """from (select model, prediction, label_regression
+    from value_predictions order by md5(concat_ws('|', '42', model, row_key)), model, row_key limit 10000))""")
+
     sql = {
         "filter_sort_top20": f"with {VITALS} select case_name, Time, HR from vitals where HR > 100 "
                              "order by RelativeTimeMilliseconds, case_name, Time, HR limit 20",
@@ -430,6 +433,7 @@ select file_name, size from walk where taken"""
         "residual_hist": f"with {KNOWN_VALUES}, residuals as (select model, prediction - label_regression as residual "
                          f"from value_predictions), {histogram('residuals', 'residual', 60, 'model')}",
         "residual_density": f"with {density}",
+        "residual_density_sampled": f"with {sampled_density}",
         "prob_hist": f"with {LABELLED}, {class_predictions('labelled')}, "
                      + histogram("class_predictions", "probability", 50, "model, label_classification"),
         "prob_from_text": f"""with {LABELLED}, {class_predictions('labelled')} select model, count(*) as rows,

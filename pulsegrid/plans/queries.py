@@ -638,6 +638,14 @@ def residual_density(spark, sf_dir):
     return curve.withColumns({"x": F.round("x", 6), "height": F.round("height", 4)})
 
 
+@query
+def residual_density_sampled(spark, sf_dir):
+    """The density of a report: over a seeded sample of 10,000 rows."""
+    sample = reports.residuals(_values(spark, sf_dir), VALUE_MODELS, reports.RESIDUAL_SAMPLE, ["model", "row_key"])
+    curve = reports.density_curve(sample, "residual", "model")
+    return curve.withColumns({"x": F.round("x", 6), "height": F.round("height", 4)})
+
+
 @query
 def prob_hist(spark, sf_dir):
     counted = reports.probability_histogram(_classes(spark, sf_dir), CLASS_MODELS)

@@ -63,31 +63,26 @@ def budget_sample(files: DataFrame, target_bytes: int, seed: int = 42) -> DataFr
 def greedy_budget_sample(files: DataFrame, target_bytes: int, seed: int = 42) -> DataFrame:
     """Like ``budget_sample``, but a file that would overshoot is skipped and later, smaller ones still fit in.
 
-    After the first overshoot only files behind it that are no larger than the rest of the budget can follow, so
-    each round takes one more prefix of those. The driver sees one row of totals per round.
+    Behind the first file that overshoots only files no larger than the rest of the budget can follow, so each round
+    takes the longest prefix of those. A round gives the driver one row of totals; the result is one filter.
     """
-    order = digest("file_name", seed=seed)
-    candidates = files.withColumn("_key", order)
-    room = target_bytes
-    picked = None
-    while True:
-        sized = running_size(candidates.filter(F.col("size") <= room), seed)
+    ordered = files.withColumn("_place", F.struct(digest("file_name", seed=seed), "file_name"))
+    room, behind, taken = target_bytes, F.lit(True), F.lit(False)
+    while room > 0:
+        candidate = behind & (F.col("size") <= room)
+        sized = running_size(ordered.filter(candidate), seed)
         fits = F.col("before") + F.col("size") <= room
-        totals = sized.agg(
-            F.sum(F.when(fits, F.col("size"))).alias("taken"),
-            F.min(F.when(~fits, F.struct("_key", "file_name"))).alias("stop"),
-        ).first()
-        if totals["taken"] is None:
+        totals = sized.agg(F.sum(F.when(fits, F.col("size"))).alias("used"),
+                           F.min(F.when(~fits, F.col("_place"))).alias("stop")).first()
+        if totals["used"] is None:
             break
-        chosen = sized.filter(fits).drop("before", "_key")
-        picked = chosen if picked is None else picked.unionByName(chosen)
-        room -= totals["taken"]
-        if totals["stop"] is None or room <= 0:
+        if totals["stop"] is None:
+            taken = taken | candidate
             break
-        stop_key, stop_name = totals["stop"]
-        behind = F.struct("_key", "file_name") > F.struct(F.lit(stop_key), F.lit(stop_name))
-        candidates = candidates.filter(behind)
-    return files.limit(0) if picked is None else picked
+        stop = F.struct(*[F.lit(v) for v in totals["stop"]])
+        taken = taken | (candidate & (F.col("_place") < stop))
+        room, behind = room - totals["used"], F.col("_place") > stop
+    return ordered.filter(taken).drop("_place")
 
 
 def planned_copies(files: DataFrame, target_bytes: int, seed: int = 42) -> DataFrame:

@@ -39,34 +39,59 @@ def in_segment(lo: float, hi: float, closed: bool = False, time_norm: str = "tim
     return (t >= lo) & ((t <= hi) if closed else (t < hi))
 
 
-def segment_names(alarms: str = "Num_Patient_Alarms", closed_last: bool = False) -> Column:
-    """Names of all segments a row is part of. A row without an alarm count is in neither alarm segment."""
-    names = [F.lit(FULL_SEGMENT)]
+def segments(alarms: str = "Num_Patient_Alarms", closed_last: bool = False) -> dict[str, Column]:
+    """Condition of every segment. A row without an alarm count is in neither alarm segment."""
+    conditions = {FULL_SEGMENT: F.lit(True)}
     last = list(TEMPORAL_SEGMENTS)[-1]
     for name, (lo, hi) in TEMPORAL_SEGMENTS.items():
-        names.append(F.when(in_segment(lo, hi, closed_last and name == last), f"temporal_{name}"))
-    names.append(F.when(F.col(alarms) > 0, "alarms_active"))
-    names.append(F.when(F.col(alarms) == 0, "no_alarms"))
-    return F.array_compact(F.array(*names))
+        conditions[f"temporal_{name}"] = in_segment(lo, hi, closed_last and name == last)
+    conditions["alarms_active"] = F.col(alarms) > 0
+    conditions["no_alarms"] = F.col(alarms) == 0
+    return conditions
 
 
-def by_segment(df: DataFrame, **options) -> DataFrame:
-    """One row per segment of each row. Meant for narrow rows that an aggregate follows."""
-    return df.withColumn("segment", F.explode(segment_names(**options)))
+def by_segment(df: DataFrame, conditions: dict[str, Column] | None = None) -> DataFrame:
+    """One row per segment of each row."""
+    names = [F.when(c, name) for name, c in (conditions or segments()).items()]
+    return df.withColumn("segment", F.explode(F.array_compact(F.array(*names))))
 
 
-def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model", "segment"),
-                           label: str = CLASS_LABEL, prediction: str = "prediction",
-                           score: str = "probability", digits: int | None = 4, fan_out: int = 16) -> DataFrame:
+def _with_membership(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """Add the segments of a row as bits of one number, a short grouping key."""
+    bits = [F.when(c, 1 << i).otherwise(0) for i, c in enumerate(conditions.values())]
+    member = bits[0]
+    for bit in bits[1:]:
+        member = member + bit
+    return df.withColumn("_member", member)
+
+
+def _spread_to_segments(df: DataFrame, names: list[str]) -> DataFrame:
+    """Give grouped rows to each of their segments."""
+    hits = [F.when(F.col("_member").bitwiseAND(1 << i) > 0, name) for i, name in enumerate(names)]
+    return df.withColumn("segment", F.explode(F.array_compact(F.array(*hits)))).drop("_member")
+
+
+def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model",),
+                           conditions: dict[str, Column] | None = None, label: str = CLASS_LABEL,
+                           prediction: str = "prediction", score: str = "probability", digits: int | None = 4,
+                           fan_out: int = 16) -> DataFrame:
     """Area under the ROC curve, accuracy and weighted F1, precision and recall per group of binary predictions.
 
-    Rows collapse to counts per distinct score inside the scan tasks. The area is the exact rank sum over distinct
-    scores: the scores are cut into ``fan_out`` squared ranges of about equal size, ranked inside each range in
-    parallel, and only one row per range is put in order across a group.
+    ``conditions`` adds a segment to the grouping; a row counts in every segment whose condition it meets. Rows
+    collapse to counts per score and segment membership before they are given to the segments, so the segments cost
+    no extra pass and the scan emits no row twice.
+
+    The area is the exact rank sum over the scores: they are cut into ``fan_out`` squared ranges of about equal size,
+    ranked inside each range in parallel, and only one row per range is put in order across a group.
     """
     known = predictions.filter(F.col(label).isNotNull())
+    keys = list(by)
+    marked = known
+    if conditions:
+        marked = _with_membership(known, conditions)
+        keys.append("_member")
     actual, said = F.col(label) == 1, F.col(prediction) == 1
-    counts = known.groupBy(*by, F.col(score).alias("_score")).agg(
+    counts = marked.groupBy(*keys, F.col(score).alias("_score")).agg(
         F.count_if(actual & said).alias("tp"),
         F.count_if(~actual & said).alias("fp"),
         F.count_if(~actual & ~said).alias("tn"),
@@ -76,20 +101,27 @@ def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model
     edges = known.agg(F.percentile_approx(score, shares).alias("edges")).scalar()
     counts = counts.withColumn("_edges", edges)
     counts = counts.withColumn("_range", _range_of("_score", "_edges", fan_out)).drop("_edges")
+    if conditions:
+        counts = _spread_to_segments(counts, list(conditions))
+        keys[-1] = "segment"
 
+    # With peers in the running counts, sum(pos * neg up to) counts the pairs neg <= pos and sum(neg * pos up to) the
+    # pairs pos <= neg. Their difference to all pairs, halved, is the rank sum with ties worth one half.
+    tallies = ["tp", "fp", "tn", "fn"]
     positive, negative = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
-    lower = Window.partitionBy(*by, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum(negative).over(lower), F.lit(0))
-    ranked = counts.withColumn("_pairs", positive * (below + negative / 2.0))
-    ranges = ranked.groupBy(*by, "_range").agg(
-        *[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn", "_pairs")])
+    up_to = Window.partitionBy(*keys, "_range").orderBy("_score").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    pos, neg = positive.cast("double"), negative.cast("double")
+    lead = pos * F.sum(negative).over(up_to) - neg * F.sum(positive).over(up_to)
+    ranges = counts.withColumn("_lead", lead).groupBy(*keys, "_range").agg(
+        *[F.sum(c).alias(c) for c in (*tallies, "_lead")])
     # At most one row per score range and group: small whatever the number of predictions.
-    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("_below", F.coalesce(F.sum(negative).over(earlier), F.lit(0)))
-    totals = ranges.withColumn("_pairs", F.col("_pairs") + positive * F.col("_below")).groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn", "_pairs")])
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum(negative).over(earlier), F.lit(0)).cast("double")
+    ranges = ranges.withColumn("_pairs", (F.col("_lead") + pos * neg) / 2 + pos * below)
+    totals = ranges.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*tallies, "_pairs")])
 
-    tp, fp, tn, fn = (F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn"))
+    tp, fp, tn, fn = (F.col(c).cast("double") for c in tallies)
     n, p, q = tp + fp + tn + fn, tp + fn, fp + tn
     area = F.when(p == 0, 0.0).when(q == 0, 1.0).otherwise(F.try_divide("_pairs", p * q))
     precision = _weighted(_ratio(tp, tp + fp), p, _ratio(tn, tn + fn), q)
@@ -97,7 +129,7 @@ def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model
     values = {
         "auc": area, "accuracy": (tp + tn) / n, "f1": f1 / n, "precision": precision / n, "recall": (tp + tn) / n,
     }
-    return totals.select(*by, n.cast("long").alias("n_rows"), *_rounded(values, digits))
+    return totals.select(*keys, n.cast("long").alias("n_rows"), *_rounded(values, digits))
 
 
 def _range_of(value: str, edges: str, step: int) -> Column:
@@ -110,19 +142,34 @@ def _range_of(value: str, edges: str, step: int) -> Column:
     return start + below(F.slice(edges, start + 1, step - 1))
 
 
-def regression_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model", "segment"), label: str = REG_LABEL,
+def regression_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model",),
+                       conditions: dict[str, Column] | None = None, label: str = REG_LABEL,
                        prediction: str = "prediction", digits: int | None = 4) -> DataFrame:
-    """Root mean square error, mean absolute error and R² per group, from one aggregate."""
+    """Root mean square error, mean absolute error and R² per group, from one pass over the rows.
+
+    With ``conditions`` the rows are reduced per segment membership, and the few reduced rows go to the segments.
+    """
     known = predictions.filter(F.col(label).isNotNull())
+    keys = list(by)
+    if conditions:
+        known = _with_membership(known, conditions)
+        keys.append("_member")
     y, error = F.col(label), F.col(prediction) - F.col(label)
-    sums = known.groupBy(*by).agg(
-        F.count("*").alias("n_rows"), F.avg(error * error).alias("_mse"), F.avg(F.abs(error)).alias("mae"),
-        F.var_pop(y).alias("_spread"),
+    sums = known.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.sum(error * error).alias("_squares"), F.sum(F.abs(error)).alias("_absolute"),
+        F.avg(y).alias("_mean"), F.var_pop(y).alias("_spread"),
     )
+    if conditions:
+        sums = _spread_to_segments(sums, list(conditions))
+        keys[-1] = "segment"
+    n, weight = F.sum("_n"), F.col("_n") * F.col("_mean")
+    between = F.sum(weight * F.col("_mean")) - F.sum(weight) * F.sum(weight) / n
+    total = F.sum(F.col("_n") * F.col("_spread")) + between
     values = {
-        "rmse": F.sqrt("_mse"), "mae": F.col("mae"), "r2": 1 - F.try_divide("_mse", "_spread"),
+        "rmse": F.sqrt(F.sum("_squares") / n), "mae": F.sum("_absolute") / n,
+        "r2": 1 - F.try_divide(F.sum("_squares"), total),
     }
-    return sums.select(*by, "n_rows", *_rounded(values, digits))
+    return sums.groupBy(*keys).agg(n.alias("n_rows"), *_rounded(values, digits))
 
 
 def _ratio(part: Column, whole: Column) -> Column:

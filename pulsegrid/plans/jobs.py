@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pulsegrid.operators import reports
 from pulsegrid.operators.cleaning import clean
 from pulsegrid.operators.evaluation import (
-    by_segment, classification_metrics, regression_metrics, with_time_norm,
+    classification_metrics, regression_metrics, segments, with_time_norm,
 )
 from pulsegrid.operators.models import MODELS, fit_model, load_model, save_model, score, validation_metrics
 from pulsegrid.operators.sampling import SPLIT_SEED, SPLIT_SHARES, hash_split, random_split
@@ -83,7 +83,7 @@ def predict(spark: SparkSession, out: str, names: list[str] | None = None,
             scored = score(name, load_model(f"{out}/models/{name}"), test)
             write_table(scored.drop("model"), f"{out}/predictions/{kind}/model={name}")
         predictions = read_table(spark, f"{out}/predictions/{kind}")
-        metrics[kind] = measure(by_segment(predictions, closed_last=closed_last))
+        metrics[kind] = measure(predictions, conditions=segments(closed_last=closed_last))
         write_metrics(metrics[kind], f"{out}/segment_metrics/{kind}")
     return metrics
 

@@ -18,7 +18,7 @@ from pulsegrid.operators.models import MODELS, fit_model, load_model, save_model
 from pulsegrid.operators.windows import WindowSpec, pollution_results, traffic_results
 from pulsegrid.plans import jobs
 from pulsegrid.plans.views import (
-    as_emissions, class_predictions, emissions, labelled_vitals, raw_vitals, recording_files, table,
+    as_emissions, class_predictions, emissions, labelled_vitals, raw_vitals, recording_files, recording_name, table,
     value_predictions, vitals,
 )
 from pulsegrid.schemas import EMISSION_EVENT, TRAFFIC_RESULT, pollution_result_schema
@@ -163,7 +163,7 @@ def segment_counts(spark, sf_dir):
 
 @query
 def segment_counts_closed(spark, sf_dir):
-    rows = evaluation.by_segment(_timed(spark, sf_dir), closed_last=True)
+    rows = evaluation.by_segment(_timed(spark, sf_dir), evaluation.segments(closed_last=True))
     return rows.groupBy("segment").agg(F.count("*").alias("rows"))
 
 
@@ -178,11 +178,11 @@ def reg_metrics(spark, sf_dir):
 
 
 def _segment_cls(spark, sf_dir) -> DataFrame:
-    return evaluation.classification_metrics(evaluation.by_segment(class_predictions(_timed(spark, sf_dir))))
+    return evaluation.classification_metrics(class_predictions(_timed(spark, sf_dir)), conditions=evaluation.segments())
 
 
 def _segment_reg(spark, sf_dir) -> DataFrame:
-    return evaluation.regression_metrics(evaluation.by_segment(value_predictions(_timed(spark, sf_dir))))
+    return evaluation.regression_metrics(value_predictions(_timed(spark, sf_dir)), conditions=evaluation.segments())
 
 
 @query
@@ -528,10 +528,9 @@ def _model_metrics(spark, sf_dir, name: str) -> DataFrame:
     save_model(fitted, f"{path}/model")
     scored = score(name, load_model(f"{path}/model"), tables.read_table(spark, f"{path}/test"))
     tables.write_table(scored, f"{path}/predictions")
-    predictions = evaluation.by_segment(tables.read_table(spark, f"{path}/predictions"))
-    if MODELS[name].classifies:
-        return evaluation.classification_metrics(predictions)
-    return evaluation.regression_metrics(predictions)
+    predictions = tables.read_table(spark, f"{path}/predictions")
+    measure = evaluation.classification_metrics if MODELS[name].classifies else evaluation.regression_metrics
+    return measure(predictions, conditions=evaluation.segments())
 
 
 @query
@@ -725,9 +724,7 @@ def replicate_rows(spark, sf_dir):
 def _landed(spark, sf_dir) -> DataFrame:
     """Recordings taken to be landed already: those of suppliers with a high balance."""
     suppliers = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 5000)
-    return suppliers.select(F.format_string(
-        "vsd_case%02d_fulldata_%02d.csv", F.col("s_suppkey") % 32 + 1, F.expr("s_suppkey div 32") + 1,
-    ).alias("file_name"))
+    return suppliers.select(recording_name("s_suppkey").alias("file_name"))
 
 
 @query

@@ -6,7 +6,7 @@ registered queries run over whole tables and grow with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.cleaning import valid_rows, with_labels, with_pulse_pressure
@@ -44,6 +44,18 @@ def emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_emissions(table(spark, sf_dir, "events"))
 
 
+def _padded(number: Column) -> Column:
+    """At least two digits."""
+    text = number.cast("string")
+    return F.when(number < 10, F.concat(F.lit("0"), text)).otherwise(text)
+
+
+def recording_name(supplier: str) -> Column:
+    """File name of a supplier's recording: 32 cases, numbered files."""
+    case, file = F.col(supplier) % 32 + 1, F.floor(F.col(supplier) / 32) + 1
+    return F.concat(F.lit("vsd_case"), _padded(case), F.lit("_fulldata_"), _padded(file), F.lit(".csv"))
+
+
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vital-sign rows from order lines; a supplier is a recording file. Some readings are missing or impossible."""
     lines = table(spark, sf_dir, "lineitem")
@@ -52,14 +64,11 @@ def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_quantity") == 49, 0.0)
         .otherwise(50 + F.col("l_quantity") * 1.5)
     )
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
     return lines.select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_key"),
-        F.format_string(
-            "vsd_case%02d_fulldata_%02d.csv", F.col("l_suppkey") % 32 + 1, F.expr("l_suppkey div 32") + 1,
-        ).alias("case_name"),
-        F.concat_ws(":", two(F.col("l_orderkey") % 24), two(F.col("l_partkey") % 60),
-                    two(F.col("l_suppkey") % 60)).alias("Time"),
+        recording_name("l_suppkey").alias("case_name"),
+        F.concat_ws(":", _padded(F.col("l_orderkey") % 24), _padded(F.col("l_partkey") % 60),
+                    _padded(F.col("l_suppkey") % 60)).alias("Time"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("RelativeTimeMilliseconds"),
         hr.alias("HR"),
         F.when(F.col("l_quantity") == 50, 101.0).otherwise(90 + F.col("l_discount") * 100).alias("SpO2"),

@@ -12,7 +12,7 @@ from pulsegrid.operators.evaluation import (
     classification_metrics, regression_metrics, segments, with_time_norm,
 )
 from pulsegrid.operators.models import MODELS, fit_model, load_model, save_model, score, validation_metrics
-from pulsegrid.operators.sampling import SPLIT_SEED, SPLIT_SHARES, hash_split, random_split
+from pulsegrid.operators.sampling import SPLIT_NAMES, SPLIT_SEED, SPLIT_SHARES, random_split, with_split
 from pulsegrid.operators.windows import WindowSpec, pollution_results, traffic_results
 from pulsegrid.schemas import TIME_COLUMN
 from pulsegrid.sources.tables import read_table, write_metrics, write_table
@@ -45,17 +45,25 @@ def prepare_recordings(spark: SparkSession, source: str, target: str) -> DataFra
     return read_table(spark, target)
 
 
+def land_splits(rows: DataFrame, out: str, split_keys: list[str] | None = None,
+                shares: tuple[float, ...] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> list[DataFrame]:
+    """Write the three parts as tables and read them back, so that no later step cleans or draws rows again."""
+    path = f"{out}/splits"
+    if split_keys:
+        write_table(with_split(rows, split_keys, shares, seed), path, partition_by=["split"])
+    else:
+        for name, part in zip(SPLIT_NAMES, random_split(rows, shares, seed)):
+            write_table(part, f"{path}/split={name}")
+    return [read_table(rows.sparkSession, f"{path}/split={name}") for name in SPLIT_NAMES]
+
+
 def train(rows: DataFrame, out: str, names: list[str] | None = None, split_keys: list[str] | None = None,
           shares: tuple[float, ...] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> dict[str, DataFrame]:
-    """Fit the models on the training part, keep the test part and the models, and report validation metrics.
+    """Fit the models on the training part, keep the parts and the models, and report validation metrics.
 
     With ``split_keys`` the parts follow a digest of the keys; otherwise rows are drawn at random.
     """
-    if split_keys:
-        train_part, val_part, test_part = hash_split(rows, split_keys, shares, seed)
-    else:
-        train_part, val_part, test_part = random_split(rows, shares, seed)
-    write_table(test_part, f"{out}/test_split")
+    train_part, val_part, _ = land_splits(rows, out, split_keys, shares, seed)
     metrics: dict[str, DataFrame] = {}
     for name in names or list(MODELS):
         fitted = fit_model(name, train_part, seed=seed)
@@ -71,7 +79,7 @@ def train(rows: DataFrame, out: str, names: list[str] | None = None, split_keys:
 def predict(spark: SparkSession, out: str, names: list[str] | None = None,
             closed_last: bool = False) -> dict[str, DataFrame]:
     """Score the test part once per model, keep the predictions and measure every segment in one pass."""
-    test = with_time_norm(read_table(spark, f"{out}/test_split"))
+    test = with_time_norm(read_table(spark, f"{out}/splits/split=test"))
     metrics: dict[str, DataFrame] = {}
     for kind, classifies, measure in (
         ("classification", True, classification_metrics), ("regression", False, regression_metrics),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,11 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="pulsegrid-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for streaming progress, landed results or models.
 
@@ -47,6 +53,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="pulsegrid-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -11,16 +11,32 @@ from pulsegrid.functions.times import to_epoch_ms
 from pulsegrid.schemas import EMISSION_EVENT, EMISSION_XML, VEHICLE_NUMBERS, VEHICLE_TEXT
 
 REJECT_COLUMN = "_corrupt_record"
+_OPENING_TAG, _CLOSING_TAG = "<timestep", "</timestep>"
 
 
 def read_emission_xml(spark: SparkSession, path: str, stream: bool = False,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Vehicle records of emission documents as events. Files are read in parallel, one task per document."""
-    reader = spark.readStream if stream else spark.read
-    reader = reader.format("xml").schema(EMISSION_XML).option("rowTag", "timestep")
+    """Vehicle records of emission documents as events.
+
+    The closing tag of a timestep serves as line separator of the text source. A document is thereby cut into splits
+    like any text file and parsed by many tasks, however large it is; an XML source would give it to a single one.
+    """
+    reader = (spark.readStream if stream else spark.read).option("lineSep", _CLOSING_TAG)
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return vehicles_to_events(reader.load(path))
+    return vehicles_to_events(timesteps_from_text(reader.text(path)))
+
+
+def timesteps_from_text(pieces: DataFrame, value: str = "value") -> DataFrame:
+    """Parse pieces of text that each end where a closing timestep tag stood.
+
+    What precedes the last opening tag of a piece is the head of the document or timesteps without vehicles, and
+    the piece behind the last timestep has no vehicle either.
+    """
+    with_vehicle = pieces.filter(F.contains(F.col(value), F.lit("<vehicle")))
+    last = F.substring_index(F.col(value), _OPENING_TAG, -1)
+    element = F.concat(F.lit(_OPENING_TAG), last, F.lit(_CLOSING_TAG))
+    return with_vehicle.select(F.from_xml(element, EMISSION_XML).alias("step")).select("step.*")
 
 
 def vehicles_to_events(timesteps: DataFrame) -> DataFrame:

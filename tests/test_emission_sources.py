@@ -96,3 +96,21 @@ def test_topic_options():
     assert latest["startingOffsets"] == "latest" and latest["maxOffsetsPerTrigger"] == "5"
     assert topics.sink_options("b:1", "results") == {
         "kafka.bootstrap.servers": "b:1", "topic": "results", "kafka.acks": "all", "kafka.retries": "5"}
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path):
+    steps = 2000
+    body = "".join(
+        f'  <timestep time="{i}.00">\n    <vehicle id="v{i}" x="1" y="2" CO2="{i}.5"/>\n    <vehicle id="w" x="1" y="2"/>\n  </timestep>\n'
+        if i % 10 else f'  <timestep time="{i}.00"/>\n' for i in range(steps))
+    (tmp_path / "big.xml").write_text(f'<?xml version="1.0"?>\n<emission-export>\n{body}</emission-export>\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20kb")
+    try:
+        rows = em.read_emission_xml(spark, str(tmp_path / "big.xml"))
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 5
+        found = rows.agg(F.count("*").alias("n"), F.count_distinct("timestep").alias("t"), F.sum("CO2").alias("c")).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    used = [i for i in range(steps) if i % 10]
+    assert (found.n, found.t, found.c) == (2 * len(used), len(used), sum(i + 0.5 for i in used))

@@ -63,6 +63,6 @@ def test_train_predict_report(spark, rows, monkeypatch):
     tables = jobs.report_tables(metrics["classification"], metrics["regression"], classes, values)
     assert len(tables) == 12
     assert all(df.limit(1).count() == 1 for df in tables.values())
-    test = with_time_norm(spark.read.parquet(f"{out}/test_split"))
+    test = with_time_norm(spark.read.parquet(f"{out}/splits/split=test"))
     full = metrics["regression"].filter("segment = 'full_test'").first()
     assert full.n_rows == test.count()

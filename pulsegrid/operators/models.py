@@ -101,8 +101,10 @@ def fit_model(name: str, train: DataFrame, features: list[str] | None = None, gr
     """Grid search with k-fold cross-validation and a refit on the whole training part."""
     spec = MODELS[name]
     wanted = spec.default_features if features is None else features
-    used, dropped = usable_features(train, wanted)
-    rows = train.filter(F.col(spec.label).isNotNull()).select(*used, spec.label)
+    present = [f for f in wanted if f in train.columns]
+    rows = train.filter(F.col(spec.label).isNotNull()).select(*present, spec.label)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    used, dropped = usable_features(rows, wanted)
     estimator = spec.estimator(labelCol=spec.label, featuresCol="features", seed=seed)
     builder = ParamGridBuilder()
     for param, values in (grid or spec.grid).items():
@@ -111,7 +113,6 @@ def fit_model(name: str, train: DataFrame, features: list[str] | None = None, gr
         estimator=Pipeline(stages=preparation(used) + [estimator]), estimatorParamMaps=builder.build(),
         evaluator=spec.evaluator(), numFolds=folds, seed=seed, parallelism=parallelism,
     )
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     started = time.monotonic()
     try:
         fitted = search.fit(rows)

@@ -60,12 +60,10 @@ class WindowSpec:
     def kind(self) -> str:
         return "sliding" if self.sliding else "tumbling"
 
-    def panes_per_window(self, streaming: bool) -> int:
-        """Panes that make up a window, or 1 when events go to their windows directly."""
+    def uses_panes(self, streaming: bool) -> bool:
+        """Whether events are first reduced per slide-sized pane instead of going to all their windows."""
         divisible = self.size_micros % self.slide_micros == 0
-        if streaming or not self.pre_aggregate or not divisible:
-            return 1
-        return self.size_micros // self.slide_micros
+        return self.pre_aggregate and not streaming and divisible and self.slide_micros < self.size_micros
 
 
 def measures(pollutants: str | list[str]) -> list[str]:
@@ -118,19 +116,11 @@ def _interval(micros: int) -> str:
     return f"{micros} microseconds"
 
 
-def _shift(micros: int) -> Column:
-    return F.make_dt_interval(secs=F.lit(micros / 1e6))
-
-
-def _panes_to_windows(panes: DataFrame, spec: WindowSpec, per_window: int) -> DataFrame:
-    """Give every pane to the windows that cover it."""
+def _panes_to_windows(panes: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Give every pane to the windows that cover it: those its start lies in, as the slide divides the size."""
     start = F.col("window.start")
-    first = start - _shift((per_window - 1) * spec.slide_micros)
-    starts = F.explode(F.sequence(first, start, _shift(spec.slide_micros))).alias("_start")
-    others = [F.col(c) for c in panes.columns if c != "window"]
-    spread = panes.select(starts, *others)
-    bounds = F.struct(F.col("_start").alias("start"), (F.col("_start") + _shift(spec.size_micros)).alias("end"))
-    return spread.select(bounds.alias("window"), *others)
+    covering = F.window(start, _interval(spec.size_micros), _interval(spec.slide_micros)).alias("window")
+    return panes.select(covering, *[c for c in panes.columns if c != "window"])
 
 
 def _filled(value: Column, spec: WindowSpec) -> Column:
@@ -141,8 +131,7 @@ def pollution_windows(events: DataFrame, spec: WindowSpec, pollutants: str | lis
     """Mean and maximum of each pollutant and the number of records per window and cell."""
     names = measures(pollutants)
     placed = with_cells_and_time(events, spec, names)
-    panes = spec.panes_per_window(events.isStreaming)
-    if panes == 1:
+    if not spec.uses_panes(events.isStreaming):
         values = {n: (F.avg(n), F.max(n)) for n in names}
         count = F.count("*")
         grouped = placed.groupBy(_windows(spec).alias("window"), *CELL)
@@ -156,7 +145,7 @@ def pollution_windows(events: DataFrame, spec: WindowSpec, pollutants: str | lis
             n: (F.try_divide(F.sum(f"{n}_sum"), F.sum(f"{n}_n")), F.max(f"{n}_top")) for n in names
         }
         count = F.sum("_rows")
-        grouped = _panes_to_windows(partial, spec, panes).groupBy("window", *CELL)
+        grouped = _panes_to_windows(partial, spec).groupBy("window", *CELL)
     return grouped.agg(
         count.alias("vehicle_count"),
         *[_filled(F.round(value, 4), spec).alias(f"{n}_{kind}")
@@ -183,13 +172,13 @@ def _traffic_exact(placed: DataFrame, spec: WindowSpec) -> DataFrame:
     The first step is keyed by the vehicle too. A busy cell is therefore spread over many tasks or state
     partitions, and no set of ids is ever built. Missing and blank ids count as records but not as vehicles.
     """
-    panes = spec.panes_per_window(placed.isStreaming)
-    time_key = _windows(spec) if panes == 1 else _pane(spec)
+    panes = spec.uses_panes(placed.isStreaming)
+    time_key = _pane(spec) if panes else _windows(spec)
     per_vehicle = placed.groupBy(
         time_key.alias("window"), *CELL, F.nullif("vehicle_id", F.lit("")).alias("vehicle_id")
     ).agg(F.count("*").alias("_rows"), F.sum("speed").alias("_speed"), F.count("speed").alias("_speeds"))
-    if panes > 1:
-        per_vehicle = _panes_to_windows(per_vehicle, spec, panes)
+    if panes:
+        per_vehicle = _panes_to_windows(per_vehicle, spec)
         vehicles = F.count_distinct("vehicle_id")
     else:
         vehicles = F.count("vehicle_id")

@@ -399,10 +399,11 @@ select file_name, size from walk where taken"""
           'Vehicles: ' || unique_vehicles || ' | Avg speed: ' || printf('%.1f', kmh) || ' km/h' as tooltip
           from (select *, {clamp('unique_vehicles', 0, 50)} as norm,
           round(avg_speed_ms * 3.6::double, 1) as kmh from latest)""",
-        "legend_breaks": "select 'noise' as pollutant, 'dB' as unit, '40' as lo, '65' as mid, '90' as hi, "
-                         "'tumbling' as window_type, '1 day' as window_duration from (select count(*) from events)",
-        "traffic_legend": "select '0' as lo, '25' as mid, '50+' as hi, 'tumbling' as window_type, "
-                          "'1 day' as window_duration from (select count(*) from events)",
+        "legend_breaks": f"with {EMISSIONS}, {DAILY}, {pollution('tumbling', '1 day', ['noise'])} select "
+                         "pollutants as pollutant, 'dB' as unit, '40' as lo, '65' as mid, '90' as hi, window_type, "
+                         "window_duration from pollution order by window_start, window_end limit 1",
+        "traffic_legend": f"{daily_traffic} select '0' as lo, '25' as mid, '50+' as hi, window_type, window_duration "
+                          "from traffic order by window_start, window_end limit 1",
         "event_colours": f"""with {EMISSIONS} select event_id, {colour('norm')} as color,
           round(speed * 3.6::double, 1) as speed_kmh from (select *, {clamp('CO2', 0, 5000)} as norm from emissions)""",
 

@@ -104,23 +104,24 @@ def fit_model(name: str, train: DataFrame, features: list[str] | None = None, gr
     present = [f for f in wanted if f in train.columns]
     rows = train.filter(F.col(spec.label).isNotNull()).select(*present, spec.label)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    used, dropped = usable_features(rows, wanted)
-    estimator = spec.estimator(labelCol=spec.label, featuresCol="features", seed=seed)
-    builder = ParamGridBuilder()
-    for param, values in (grid or spec.grid).items():
-        builder = builder.addGrid(estimator.getParam(param), values)
-    search = CrossValidator(
-        estimator=Pipeline(stages=preparation(used) + [estimator]), estimatorParamMaps=builder.build(),
-        evaluator=spec.evaluator(), numFolds=folds, seed=seed, parallelism=parallelism,
-    )
-    started = time.monotonic()
     try:
+        used, dropped = usable_features(rows, wanted)
+        estimator = spec.estimator(labelCol=spec.label, featuresCol="features", seed=seed)
+        builder = ParamGridBuilder()
+        for param, values in (grid or spec.grid).items():
+            builder = builder.addGrid(estimator.getParam(param), values)
+        search = CrossValidator(
+            estimator=Pipeline(stages=preparation(used) + [estimator]), estimatorParamMaps=builder.build(),
+            evaluator=spec.evaluator(), numFolds=folds, seed=seed, parallelism=parallelism,
+        )
+        started = time.monotonic()
         fitted = search.fit(rows)
+        seconds = round(time.monotonic() - started, 1)
     finally:
         rows.unpersist()
     metrics = fitted.avgMetrics
     best = max(metrics) if spec.evaluator().isLargerBetter() else min(metrics)
-    return FittedModel(name, fitted.bestModel, used, dropped, best, round(time.monotonic() - started, 1))
+    return FittedModel(name, fitted.bestModel, used, dropped, best, seconds)
 
 
 def save_model(fitted: FittedModel | PipelineModel, path: str) -> None:

@@ -452,6 +452,11 @@ select file_name, size from walk where taken"""
                              "sum(size) / (1024.0::double ** 3) as gb from files",
         "budget_sample": f"with {FILES} select file_name, size from shuffled, total "
                          "where before + size <= floor(total * 0.4::double)::bigint",
+        "budget_sample_rows": f"""with {FILES}, chosen as (select file_name from shuffled, total
+          where before + size <= floor(total * 0.4::double)::bigint)
+          select case_name, count(*) as rows, max(HR) as max_hr from vitals join chosen on case_name = file_name
+          group by case_name""",
+        "landing_stream": f"with {raw} select row_key, HR, NBP_Sys, Alarm_1 from raw",
         "greedy_budget_sample": "with recursive " + FILES + greedy,
         "replicate_to_size": f"with {COPIES} select file_name, source_name, size, copy from copies",
         "replicate_rows": f"with {COPIES} select file_name as case_name, count(*) as rows, max(HR) as max_hr "

@@ -26,7 +26,7 @@ from pulsegrid.session import pin_utc, shared_dir
 from pulsegrid.sources import emissions as events_io
 from pulsegrid.sources import files as files_io
 from pulsegrid.sources import tables, topics
-from pulsegrid.sources.vitals import profile, read_vitals
+from pulsegrid.sources.vitals import header_schema, profile, read_vitals
 from pulsegrid.streaming.landing import (
     ONCE, last_revision, land_updates, read_landed, read_revisions,
 )
@@ -708,6 +708,13 @@ def greedy_budget_sample(spark, sf_dir):
     return files_io.greedy_budget_sample(files, _budget(files, 0.4))
 
 
+@query
+def budget_sample_rows(spark, sf_dir):
+    files = recording_files(spark, sf_dir)
+    rows = files_io.rows_of_files(vitals(spark, sf_dir), files_io.budget_sample(files, _budget(files, 0.4)))
+    return rows.groupBy("case_name").agg(F.count("*").alias("rows"), F.max("HR").alias("max_hr"))
+
+
 @query
 def replicate_to_size(spark, sf_dir):
     files = recording_files(spark, sf_dir)
@@ -732,6 +739,21 @@ def incremental_landing(spark, sf_dir):
     return files_io.not_landed(recording_files(spark, sf_dir), _landed(spark, sf_dir))
 
 
+@query
+def landing_stream(spark, sf_dir):
+    """Recording files that arrive in two portions and are landed as they come, each exactly once."""
+    path = shared_dir(spark, "landing")
+    rows = raw_vitals(spark, sf_dir).drop("case_name")
+    schema = None
+    for portion in (F.col("Set RR") == "10", F.col("Set RR") != "10"):
+        rows.filter(portion).write.mode("append").option("header", "true").csv(f"{path}/files")
+        schema = schema or header_schema(spark, f"{path}/files", text=("row_key",))
+        files_io.land_new_files(spark, f"{path}/files", f"{path}/table", f"{path}/progress", schema,
+                                pattern="*.csv").awaitTermination()
+    landed = tables.read_table(spark, f"{path}/table")
+    return landed.select("row_key", "HR", "NBP_Sys", "Alarm_1")
+
+
 @query
 def landing_report(spark, sf_dir):
     return files_io.landing_report(recording_files(spark, sf_dir), _landed(spark, sf_dir))

@@ -85,6 +85,12 @@ def greedy_budget_sample(files: DataFrame, target_bytes: int, seed: int = 42) ->
     return ordered.filter(taken).drop("_place")
 
 
+def rows_of_files(rows: DataFrame, files: DataFrame, file_column: str = "case_name") -> DataFrame:
+    """Rows that come from the selected files."""
+    names = files.select(F.col("file_name").alias(file_column))
+    return rows.join(names, file_column, "left_semi")
+
+
 def planned_copies(files: DataFrame, target_bytes: int, seed: int = 42) -> DataFrame:
     """Number of whole-file copies per file that brings the data set up to the target size.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.scaling import minutes
 from pulsegrid.operators.cleaning import CLASS_LABEL, REG_LABEL
 from pulsegrid.operators.evaluation import FULL_SEGMENT
+from pulsegrid.operators.joins import join_grouped
 from pulsegrid.operators.sampling import capped_sample
 from pulsegrid.schemas import TIME_COLUMN
 
@@ -110,12 +111,10 @@ def residuals(predictions: DataFrame, models: list[str], rows: int | None = None
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str]) -> DataFrame:
-    """Counts of the filled bins between the extremes of each group; the last bin is closed.
-
-    The groups are the models (and labels) of a report, so the table of extremes is a handful of rows.
-    """
+    """Counts of the filled bins between the extremes of each group; the last bin is closed."""
+    df = df.select(*by, value)
     extremes = df.groupBy(*by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    placed = df.join(F.broadcast(extremes), by)
+    placed = join_grouped(df, extremes, by, "inner")
     number = F.coalesce(F.width_bucket(F.col(value), F.col("lo"), F.col("hi"), F.lit(bins)), F.lit(1))
     width = (F.col("hi") - F.col("lo")) / bins
     counted = placed.groupBy(*by, "lo", "hi", F.least(number, F.lit(bins)).cast("int").alias("bin")).agg(
@@ -134,14 +133,13 @@ def density_curve(df: DataFrame, value: str, by: str, bins: int = RESIDUAL_BINS,
                   points: int = DENSITY_POINTS) -> DataFrame:
     """Gaussian kernel density over evenly spaced points, scaled to the counts of a histogram.
 
-    Bandwidth by Scott's rule. Each task adds its rows up per point before anything is shuffled. The groups are
-    the models of a report, so the table of group statistics is a handful of rows.
+    Bandwidth by Scott's rule. Each task adds its rows up per point before anything is shuffled.
     """
     stats = df.groupBy(by).agg(
         F.count(value).alias("_n"), F.stddev(value).alias("_sd"), F.min(value).alias("_lo"), F.max(value).alias("_hi"),
     ).filter(F.col("_sd") > 0)
     stats = stats.withColumn("_h", F.col("_sd") * F.pow("_n", F.lit(-0.2)))
-    placed = df.select(by, value).dropna().join(F.broadcast(stats), by)
+    placed = join_grouped(df.select(by, value).dropna(), stats, [by], "inner")
     spread = placed.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     step = (F.col("_hi") - F.col("_lo")) / (points - 1)
     x = F.col("_lo") + F.col("point") * step

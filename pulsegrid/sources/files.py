@@ -67,10 +67,11 @@ def greedy_budget_sample(files: DataFrame, target_bytes: int, seed: int = 42) ->
     takes the longest prefix of those. A round gives the driver one row of totals; the result is one filter.
     """
     ordered = files.withColumn("_place", F.struct(digest("file_name", seed=seed), "file_name"))
+    listed = ordered.persist()
     room, behind, taken = target_bytes, F.lit(True), F.lit(False)
     while room > 0:
         candidate = behind & (F.col("size") <= room)
-        sized = running_size(ordered.filter(candidate), seed)
+        sized = running_size(listed.filter(candidate), seed)
         fits = F.col("before") + F.col("size") <= room
         totals = sized.agg(F.sum(F.when(fits, F.col("size"))).alias("used"),
                            F.min(F.when(~fits, F.col("_place"))).alias("stop")).first()
@@ -82,6 +83,7 @@ def greedy_budget_sample(files: DataFrame, target_bytes: int, seed: int = 42) ->
         stop = F.struct(*[F.lit(v) for v in totals["stop"]])
         taken = taken | (candidate & (F.col("_place") < stop))
         room, behind = room - totals["used"], F.col("_place") > stop
+    listed.unpersist()
     return ordered.filter(taken).drop("_place")
 
 

@@ -15,10 +15,15 @@ ONCE = {"availableNow": True}
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
 
 
-def land_updates(results: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write what each trigger changed (update mode)."""
+def land_updates(results: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                 files_per_batch: int | None = None) -> StreamingQuery:
+    """Write what each trigger changed (update mode).
+
+    A batch has one file per state partition; ``files_per_batch`` joins them where batches are small and frequent.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.repartition(files_per_batch) if files_per_batch else batch
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (

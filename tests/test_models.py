@@ -13,7 +13,7 @@ FAST = {"RF_Regressor": {"numTrees": [3], "maxDepth": [2, 4]}, "GBT_Classifier":
 @pytest.fixture(scope="module")
 def rows(spark, small):
     df = labelled_vitals(spark, small).withColumn("BIS", F.lit(None).cast("double"))
-    return df.repartition(4).persist()
+    return df.repartition(2).persist()
 
 
 def test_usable_features(rows):

@@ -5,12 +5,13 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid.operators.latest import latest_per_cell
 from pulsegrid.operators.windows import WindowSpec, pollution_results, traffic_results
 from pulsegrid.plans.jobs import run_windows
 from pulsegrid.plans.views import as_emissions
 from pulsegrid.session import shared_dir
 from pulsegrid.sources.topics import read_event_table
-from pulsegrid.streaming.landing import ONCE, last_revision, read_landed, read_revisions, rows_dropped_late
+from pulsegrid.streaming.landing import ONCE, land_updates, last_revision, read_landed, read_revisions, rows_dropped_late
 
 KEYS = ["window_start", "window_end", "lat", "lon"]
 LATE_BATCHES = [
@@ -120,6 +121,17 @@ def test_processing_time_stream(spark, small):
     assert total == events.count()
 
 
+def test_latest_per_cell_stream_in_few_files(spark, small, tmp_path):
+    results = pollution_results(as_emissions(spark.read.parquet(f"{small}/events.parquet")), WindowSpec("1 day"), "CO2")
+    path = shared_dir(spark, "latest")
+    results.repartition(3).write.parquet(f"{path}/in")
+    stream = read_event_table(spark, f"{path}/in", results.schema, max_files_per_trigger=1)
+    finish(land_updates(latest_per_cell(stream), f"{path}/t", f"{path}/c", ONCE, files_per_batch=1))
+    revisions = read_revisions(spark, f"{path}/t", results.schema)
+    assert revisions.select(F.input_file_name().alias("f")).distinct().count() == 3
+    assert rows_of(last_revision(revisions, ["lat", "lon"])) == rows_of(latest_per_cell(results))
+
+
 def test_bad_choices(spark, small):
     events = spark.read.parquet(f"{small}/events.parquet")
     stream = as_emissions(read_event_table(spark, small, events.schema, pattern="events.parquet"))

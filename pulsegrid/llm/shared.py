@@ -72,15 +72,30 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_members(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 22) -> DataFrame:
-    """``rows`` whose key may be among ``wanted`` (one column of the same name): a filter before a join on the key.
+def _maybe(rows: DataFrame, key: str, wanted: DataFrame, bits: int) -> DataFrame:
+    """``rows`` as one column ``row`` with the key and ``maybe``: false if the key is surely not among ``wanted``.
 
     The wanted keys are folded into a bitmap of fixed size (65,536 words by default), which is broadcast; its size
-    does not depend on the data. Rows that pass by chance fall out in the join that follows.
+    does not depend on the data.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    bitmap = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("marks"))
+    marked = rows.select(F.struct("*").alias("row"), F.col(key).alias("key"), slot.alias("slot")).withColumn("word", F.shiftright("slot", 6))
+    return marked.join(F.broadcast(bitmap), "word", "left").select("row", "key", F.expr(
+        "coalesce((shiftrightunsigned(marks, cast(slot & 63 as int)) & 1) = 1, false)").alias("maybe"))
+
+
+def near_members(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 22) -> DataFrame:
+    """``rows`` whose key may be among ``wanted`` (one column of that name), to be joined on the key next.
+
+    Rows that pass by chance fall out in the join; the others need not be shuffled.
     """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    bitmap = wanted.select(slot(key).alias("slot")).groupBy(F.shiftright("slot", 6).alias("slot_word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("slot_bits"))
-    marked = rows.withColumn("slot", slot(key)).withColumn("slot_word", F.shiftright("slot", 6))
-    return marked.join(F.broadcast(bitmap), "slot_word").filter(
-        F.expr("(shiftrightunsigned(slot_bits, cast(slot & 63 as int)) & 1) = 1")).drop("slot", "slot_word", "slot_bits")
+    return _maybe(rows, key, wanted, bits).filter("maybe").select("row.*")
+
+
+def without_keys(rows: DataFrame, key: str, gone: DataFrame, bits: int = 1 << 22) -> DataFrame:
+    """``rows`` whose key is not among ``gone``: only rows that a bitmap of fixed size cannot clear are shuffled."""
+    marked = _maybe(rows, key, gone, bits)
+    doubtful = marked.filter("maybe").join(gone.select(F.col(key).alias("key")), "key", "left_anti")
+    return marked.filter(~F.col("maybe")).select("row.*").unionByName(doubtful.select("row.*"))

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import jaccard, quality, substrings
+from pulsegrid.llm import jaccard, quality, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_quality_rules": op8_quality_rules,

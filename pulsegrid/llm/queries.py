@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import jaccard, quality, substrings, toxicity
+from pulsegrid.llm import jaccard, packing, quality, substrings, toxicity
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed tokenizer files lie; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +35,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,6 +47,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
 }
 SQL: dict[str, str] = {

@@ -121,8 +121,8 @@ def judged(counts: DataFrame, limits: DataFrame) -> DataFrame:
     over = F.lit(False)
     for rule in RULES:
         over = over | F.coalesce(F.col(f"rate_{rule}") > F.col(f"cut_{rule}"), F.lit(False))
-    # At most STRATA rows of five columns.
-    return counts.join(F.broadcast(limits), "stratum", "left").withColumn("kept", ~F.col("base_failed") & ~over)
+    # At most STRATA rows of five columns. One CASE, so that a filter on it is not split and pushed below the counting.
+    return counts.join(F.broadcast(limits), "stratum", "left").withColumn("kept", F.when(F.col("base_failed"), False).otherwise(~over))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:

@@ -11,10 +11,11 @@ its ``|A| - ceil(0.8 |A|) + 1`` rarest shingles (rarity: the counts of 2**18 has
 order is exact). Linked documents share at least one cell. Within a cell of different texts:
 
 1. every member is compared with one pivot (its most frequent one over its cells), and links are contracted;
-2. cells that still hold several components get R-trees; members outside the cell's largest component search them,
-   and pairs in different components that pass the bound are compared exactly.
+2. cells that still hold several components get R-trees; members outside the cell's largest component search them, and
+   each is compared with its nearest point of another component; links are contracted again;
+3. the same search, now with every pair in different components that passes the bound.
 
-A pair in one component needs no comparison, so groups of copies stay linear. Hot cells are dealt to blocks of at most
+All comparisons are exact. A pair in one component needs none, so groups of copies stay linear. Hot cells are dealt to blocks of at most
 ``BLOCK`` points on either side. Equal sets are one point from the start.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component; with fewer than five
@@ -25,7 +26,7 @@ than doc_id and text are not read, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pulsegrid.llm.shared import components, kept, near_members, ship, without_k
 from pulsegrid.llm.words import mix, pieces, shingle_sets, signed, words_of
 
 WIDTH, PERCENT = 5, 80
-GROUPS = 32
+GROUPS, FULL = 256, 255
 RARITY_BITS, SLICES = 18, 16
 BLOCK, LEAF = 512, 16
 POINT_SCHEMA = "doc_id long, n long, k1 long, k2 long, point binary, slice int, tally binary"
@@ -48,7 +49,7 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
         return 0, 0
     a = mix(shingles ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64) + np.uint64(len(shingles))
     b = np.bitwise_xor.reduce(mix(shingles + np.uint64(0xE7037ED1A0B428DB)))
-    return int(signed(mix(np.array([a]))[0:1])[0]), int(signed(np.array([b]))[0])
+    return int(signed(mix(np.array([a])))[0]) & -2, int(signed(np.array([b]))[0])
 
 
 def _points(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +60,7 @@ def _points(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
         sets = list(shingle_sets(words_of(piece.column("text"), lower=True), WIDTH))
         keys = [_digest(s) for s in sets]
-        points = [np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype(np.uint32).tobytes() for s in sets]
+        points = [np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=GROUPS), FULL).astype(np.uint8).tobytes() for s in sets]
         tally += np.bincount((np.concatenate(sets) & np.uint64((1 << RARITY_BITS) - 1)).astype(np.int64), minlength=1 << RARITY_BITS)
         none = [None] * len(sets)
         yield pa.RecordBatch.from_arrays([
@@ -97,7 +98,7 @@ def rarity(points: DataFrame) -> np.ndarray:
     return table.reshape(-1)
 
 
-def _cells(table) -> callable:
+def _cells(table) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
         for piece in pieces(batches):
@@ -105,13 +106,13 @@ def _cells(table) -> callable:
             for s in shingle_sets(words_of(piece.column("text"), lower=True), WIDTH):
                 if not len(s):
                     continue
-                take = len(s) - (PERCENT * len(s) + 99) // 100 + 1
+                take, early = len(s) - (PERCENT * len(s) + 99) // 100 + 1, len(s) - -(-160 * len(s) // 180) + 1
                 order = np.argsort(counts[(s & np.uint64((1 << RARITY_BITS) - 1)).astype(np.int64)], kind="stable")[:take]
                 tokens.append(s[order])
-                keys.append(np.full(take, _digest(s)[0], np.int64))
+                keys.append((_digest(s)[0] & -2) | (np.arange(take) >= early))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(tokens))), pa.array(np.concatenate(keys))], names=["token", "k1"])
+                    [pa.array(signed(np.concatenate(tokens))), pa.array(np.concatenate(keys))], names=["token", "entry"])
     return run
 
 
@@ -179,24 +180,36 @@ class Tree:
         return self.order[at]
 
 
-def _searched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table, cut in whole_groups(batches, ["token", "i", "j"]):
-        asks, keys = table.column("asks").to_numpy(), table.column("k1").to_numpy()
-        sizes, labels = table.column("n").to_numpy(), table.column("label").to_numpy()
-        points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
-        found = []
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
-            ask, ans = a + np.flatnonzero(asks[a:b]), a + np.flatnonzero(~asks[a:b])
-            if not len(ask) or not len(ans):
-                continue
-            tree = Tree(points[ans], sizes[ans])
-            for q in ask:
-                near = ans[tree.search(points[q], sizes[q])]
-                near = keys[near[labels[near] != labels[q]]]
-                if len(near):
-                    found.append(np.stack([np.minimum(near, keys[q]), np.maximum(near, keys[q])]))
-        both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+def _searched(nearest: bool) -> Callable:
+    """Pairs (a, b, score) in different components that may link; with ``nearest`` only the best answer of each query.
+
+    Of two linked documents the smaller one holds the rarest shared shingle among its first, so it must not be late.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cut in whole_groups(batches, ["token", "i", "j"]):
+            asks, keys, late = table.column("asks").to_numpy(), table.column("k1").to_numpy(), table.column("late").to_numpy()
+            sizes, labels = table.column("n").to_numpy(), table.column("label").to_numpy()
+            points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+            points[points == FULL] = 1 << 22
+            found = [np.zeros((3, 0), np.int64)]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                ask, ans = a + np.flatnonzero(asks[a:b]), a + np.flatnonzero(~asks[a:b])
+                if not len(ask) or not len(ans):
+                    continue
+                tree = Tree(points[ans], sizes[ans])
+                for q in ask:
+                    near = ans[tree.search(points[q], sizes[q])]
+                    near = near[(labels[near] != labels[q]) & np.where(sizes[near] < sizes[q], ~late[near], (sizes[near] == sizes[q]) & ~late[near] | ~late[q])]
+                    if len(near):
+                        score = 1000 * np.minimum(points[near], points[q]).sum(axis=1, dtype=np.int64) // (sizes[near] + sizes[q])
+                        if nearest:
+                            near, score = near[[score.argmax()]], score[[score.argmax()]]
+                            found.append(np.stack([np.full(1, keys[q]), keys[near], score]))
+                        else:
+                            found.append(np.stack([np.minimum(keys[near], keys[q]), np.maximum(keys[near], keys[q]), score]))
+            both = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(both[2])], names=["a", "b", "score"])
+    return run
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -205,7 +218,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _unfinished(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (token, i, j, asks, k1, n, label, point) of cells that hold several components, dealt to bounded blocks."""
+    """Rows (token, i, j, asks, k1, late, n, label, point) of cells that hold several components, dealt to bounded blocks."""
     rows = cells.join(labels, "k1")
     tallies = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
     mixed = tallies.groupBy("token").agg(
@@ -215,7 +228,7 @@ def _unfinished(cells: DataFrame, labels: DataFrame) -> DataFrame:
         F.ceil((F.col("members") - F.col("main.c")) / BLOCK).cast("int").alias("askers"))
     dealt = rows.join(mixed, "token").withColumns({
         "own_i": F.pmod(F.xxhash64("k1"), F.col("askers")).cast("int"), "own_j": F.pmod(F.xxhash64("k1", F.lit(1)), F.col("answers")).cast("int")})
-    columns = ["token", "k1", "n", "label", "point"]
+    columns = ["token", "k1", "late", "n", "label", "point"]
     asks = dealt.filter("label <> main").select(
         *columns, F.col("own_i").alias("i"), F.explode(F.sequence(F.lit(0), F.col("answers") - 1)).alias("j"), F.lit(True).alias("asks"))
     answers = dealt.select(
@@ -234,9 +247,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     reps = kept(points.filter("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("point").alias("point")), "jaccard-sets")
 
-    tokens = docs.filter("doc_id is not null").mapInArrow(_cells(table), "token long, k1 long")
-    shared = tokens.groupBy("token").agg(F.min("k1").alias("pivot"), F.max("k1").alias("other")).filter("pivot <> other")
-    cells = kept(tokens.join(shared.select("token", "pivot"), "token").distinct(), "jaccard-cells")
+    # An entry is the key of a set; its lowest bit tells that the shingle is not among the first of the document.
+    tokens = docs.filter("doc_id is not null").mapInArrow(_cells(table), "token long, entry long")
+    shared = tokens.groupBy("token").agg(
+        F.min(F.expr("entry & -2L")).alias("least"), F.max(F.expr("entry & -2L")).alias("most"),
+        F.min(F.when(F.expr("entry & 1L") == 0, F.col("entry"))).alias("pivot")).filter("least <> most and pivot is not null")
+    cells = kept(tokens.join(shared.select("token", "pivot"), "token").distinct().select(
+        "token", F.expr("entry & -2L").alias("k1"), F.expr("(entry & 1L) = 1").alias("late"), "pivot"), "jaccard-cells")
 
     wanted = cells.select("k1").distinct().join(reps, "k1").select("k1", "rep")
     texts = kept(near_members(docs, "doc_id", wanted.select(F.col("rep").alias("doc_id"))).join(
@@ -247,12 +264,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     first = kept(_verified(stars, texts), "jaccard-links")
     roots = components(first)
 
-    labels = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
-        "k1", "n", "point", F.coalesce("root", "rep").alias("label"))
-    blocks = _unfinished(cells, labels).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    pairs = kept(blocks.mapInArrow(_searched, "a long, b long").distinct(), "jaccard-pairs")
-    second = kept(_verified(pairs, texts), "jaccard-links")
-    roots = components(first.unionByName(second))
+    links = first
+    for nearest in (True, False):
+        labels = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
+            "k1", "n", "point", F.coalesce("root", "rep").alias("label"))
+        blocks = _unfinished(cells, labels).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+        found = blocks.mapInArrow(_searched(nearest), "a long, b long, score long")
+        if nearest:
+            pairs = found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+        else:
+            pairs = found.select("a", "b").distinct()
+        links = links.unionByName(kept(_verified(kept(pairs, "jaccard-pairs"), texts), "jaccard-links"))
+        roots = components(links)
 
     named = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
         "k1", "k2", "n", F.coalesce("root", "rep").alias("class_root"))

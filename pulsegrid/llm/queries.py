@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, jaccard, packing, quality, sharding, substrings, toxicity
+from pulsegrid.llm import bpe, chat, jaccard, near_vectors, packing, quality, sharding, substrings, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,6 +46,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
 
@@ -67,6 +71,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op10_bpe": op10_bpe,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, jaccard, near_vectors, packing, quality, sharding, substrings, toxicity
+from pulsegrid.llm import bpe, chat, jaccard, licenses, near_vectors, packing, quality, sharding, substrings, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -58,6 +58,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(licenses.document_files(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
     rows = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), path), path)
@@ -74,8 +78,10 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_license_scans": op9_license_scans,
     "op10_bpe": op10_bpe,
 }
 SQL: dict[str, str] = {
     "op8_quality_rules": quality.sql(),
+    "op9_license_scans": licenses.sql(),
 }

@@ -11,11 +11,12 @@ its ``|A| - ceil(0.8 |A|) + 1`` rarest shingles (rarity: the counts of 2**18 has
 order is exact). Linked documents share at least one cell. Within a cell of different texts:
 
 1. every member is compared with one pivot (its most frequent one over its cells), and links are contracted;
-2. cells that still hold several components get R-trees; members outside the cell's largest component search them, and
-   each is compared with its nearest point of another component; links are contracted again;
+2. cells of one pivot are one neighbourhood; those that still hold several components get R-trees, members outside the
+   largest component search them, and each is compared with its nearest point of another component; links are
+   contracted again;
 3. the same search, now with every pair in different components that passes the bound.
 
-All comparisons are exact. A pair in one component needs none, so groups of copies stay linear. Hot cells are dealt to blocks of at most
+All comparisons are exact. A pair in one component needs none, so groups of copies stay linear. Hot neighbourhoods are dealt to blocks of at most
 ``BLOCK`` points on either side. Equal sets are one point from the start.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component; with fewer than five
@@ -186,7 +187,7 @@ def _searched(nearest: bool) -> Callable:
     Of two linked documents the smaller one holds the rarest shared shingle among its first, so it must not be late.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, cut in whole_groups(batches, ["token", "i", "j"]):
+        for table, cut in whole_groups(batches, ["pivot", "i", "j"]):
             asks, keys, late = table.column("asks").to_numpy(), table.column("k1").to_numpy(), table.column("late").to_numpy()
             sizes, labels = table.column("n").to_numpy(), table.column("label").to_numpy()
             points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int32)
@@ -217,18 +218,18 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long")
 
 
-def _unfinished(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (token, i, j, asks, k1, late, n, label, point) of cells that hold several components, dealt to bounded blocks."""
-    rows = cells.join(labels, "k1")
-    tallies = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
-    mixed = tallies.groupBy("token").agg(
+def _unfinished(near: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (pivot, i, j, asks, k1, late, n, label, point) of neighbourhoods that hold several components, dealt to bounded blocks."""
+    rows = near.join(labels, "k1")
+    tallies = rows.groupBy("pivot", "label").agg(F.count("*").alias("c"))
+    mixed = tallies.groupBy("pivot").agg(
         F.sum("c").alias("members"), F.max(F.struct("c", "label")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1")
     mixed = mixed.select(
-        "token", F.col("main.label").alias("main"), F.ceil(F.col("members") / BLOCK).cast("int").alias("answers"),
+        "pivot", F.col("main.label").alias("main"), F.ceil(F.col("members") / BLOCK).cast("int").alias("answers"),
         F.ceil((F.col("members") - F.col("main.c")) / BLOCK).cast("int").alias("askers"))
-    dealt = rows.join(mixed, "token").withColumns({
+    dealt = rows.join(mixed, "pivot").withColumns({
         "own_i": F.pmod(F.xxhash64("k1"), F.col("askers")).cast("int"), "own_j": F.pmod(F.xxhash64("k1", F.lit(1)), F.col("answers")).cast("int")})
-    columns = ["token", "k1", "late", "n", "label", "point"]
+    columns = ["pivot", "k1", "late", "n", "label", "point"]
     asks = dealt.filter("label <> main").select(
         *columns, F.col("own_i").alias("i"), F.explode(F.sequence(F.lit(0), F.col("answers") - 1)).alias("j"), F.lit(True).alias("asks"))
     answers = dealt.select(
@@ -252,15 +253,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shared = tokens.groupBy("token").agg(
         F.min(F.expr("entry & -2L")).alias("least"), F.max(F.expr("entry & -2L")).alias("most"),
         F.min(F.when(F.expr("entry & 1L") == 0, F.col("entry"))).alias("pivot")).filter("least <> most and pivot is not null")
-    cells = kept(tokens.join(shared.select("token", "pivot"), "token").distinct().select(
-        "token", F.expr("entry & -2L").alias("k1"), F.expr("(entry & 1L) = 1").alias("late"), "pivot"), "jaccard-cells")
+    # Cells of one pivot are one neighbourhood: a document stands there once, however many of the cells it is in.
+    near = kept(tokens.join(shared.select("token", "pivot"), "token").groupBy("pivot", F.expr("entry & -2L").alias("k1")).agg(
+        F.count("*").alias("cells"), F.min(F.expr("entry & 1L") == 1).alias("late")), "jaccard-near")
 
-    wanted = cells.select("k1").distinct().join(reps, "k1").select("k1", "rep")
+    wanted = near.select("k1").distinct().join(reps, "k1").select("k1", "rep")
     texts = kept(near_members(docs, "doc_id", wanted.select(F.col("rep").alias("doc_id"))).join(
         wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("k1", F.col("doc_id").alias("rep"), "text"), "jaccard-texts")
 
-    stars = cells.filter("k1 <> pivot").groupBy("k1", "pivot").count().groupBy("k1").agg(
-        F.max(F.struct("count", "pivot")).alias("best")).select(F.col("k1").alias("a"), F.col("best.pivot").alias("b"))
+    stars = near.filter("k1 <> pivot").groupBy("k1").agg(
+        F.max(F.struct("cells", "pivot")).alias("best")).select(F.col("k1").alias("a"), F.col("best.pivot").alias("b"))
     first = kept(_verified(stars, texts), "jaccard-links")
     roots = components(first)
 
@@ -268,7 +270,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     for nearest in (True, False):
         labels = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
             "k1", "n", "point", F.coalesce("root", "rep").alias("label"))
-        blocks = _unfinished(cells, labels).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+        blocks = _unfinished(near, labels).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
         found = blocks.mapInArrow(_searched(nearest), "a long, b long, score long")
         if nearest:
             pairs = found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best")).select("a", F.col("best.b").alias("b"))

@@ -13,7 +13,7 @@ Labels teach only through rows whose crc32(doc_id as text) mod 4 is not 2; lang,
 
 Defined cases: null and empty texts have no terms and get the score of the intercept; rows without doc_id are scored and
 not held out; labels that are null, repeated (the highest counts) or without a document do no harm; without labels of
-both classes there are no terms and the score is the share of toxic labels, or 0; repeated rows are scored alike; empty
+both classes, or texts for them, there are no terms and the score is the share of toxic labels, or 0; repeated rows are scored alike; empty
 tables give empty results; other columns are not read.
 """
 
@@ -161,6 +161,16 @@ def _tree(info: np.ndarray) -> list[int]:
     return parents
 
 
+def _lexicon(train: DataFrame, n1: int, n0: int) -> list[int]:
+    """The strongest terms of n1 toxic and n0 clean sample texts, by falling strength."""
+    odds = F.log((F.col("toxic") + 0.5) / (n1 - F.col("toxic") + 0.5)) - F.log((F.col("clean") + 0.5) / (F.greatest(F.lit(n0) - F.col("clean"), F.lit(0)) + 0.5))
+    strongest = train.mapInArrow(_term_counts, "term long, toxic long, clean long").groupBy("term").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") >= LEAST_TOXIC).withColumn(
+        "toxic", F.least("toxic", F.lit(n1))).withColumn("odds", odds).filter("odds > 2.5").orderBy(
+        F.desc(F.col("odds") * F.sqrt("toxic")), "term").limit(TERMS)
+    return [row.term for row in strongest.select("term").collect()]
+
+
 def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; documents have doc_id and text, labels doc_id and toxic."""
     spark = docs.sparkSession
@@ -173,16 +183,10 @@ def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Data
     train = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic")
     totals = dict(sample.groupBy("toxic").count().collect())
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    if not n1 or not n0:
+    lexicon = _lexicon(train, n1, n0) if n1 and n0 else []
+    if not lexicon:
         share = n1 / (n1 + n0) if n1 + n0 else 0.0
         return docs.select("doc_id", held_out().alias("held_out"), F.lit(share).alias("score"), F.lit(int(share >= THRESHOLD)).alias("predicted"))
-    odds = F.log((F.col("toxic") + 0.5) / (n1 - F.col("toxic") + 0.5)) - F.log((F.col("clean") + 0.5) / (F.greatest(F.lit(n0) - F.col("clean"), F.lit(0)) + 0.5))
-    strongest = train.mapInArrow(_term_counts, "term long, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") >= LEAST_TOXIC).withColumn(
-        "toxic", F.least("toxic", F.lit(n1))).withColumn("odds", odds).filter("odds > 2.5").orderBy(
-        F.desc(F.col("odds") * F.sqrt("toxic")), "term").limit(TERMS)
-    lexicon = [row.term for row in strongest.select("term").collect()]
-
     rows = kept(docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
         _votes(lexicon), "doc_id long, held_out boolean, votes int, hits array<int>, runs long"), "toxicity-votes")
     fit = kept(rows.join(F.broadcast(sample), "doc_id"), "toxicity-fit")

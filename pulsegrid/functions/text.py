@@ -16,7 +16,7 @@ def base_name(path: Column) -> Column:
 
 def case_id(name: Column) -> Column:
     """Case number written after ``case`` in a recording's file name, as text."""
-    return F.nullif(F.regexp_extract(name, r"case(\d\d)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(name, r"case(\d+)", 1), F.lit(""))
 
 
 def safe_names(names: list[str]) -> list[str]:

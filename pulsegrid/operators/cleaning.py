@@ -31,15 +31,19 @@ def to_doubles(df: DataFrame, keep: set[str] | None = None) -> DataFrame:
     ])
 
 
+def plausible(spo2: str = "SpO2", hr: str = "HR") -> Column:
+    """The rule itself; null where a reading is missing."""
+    return F.col(spo2).between(0, 100) & (F.col(hr) > 0) & (F.col(hr) < 300)
+
+
 def is_valid(spo2: str = "SpO2", hr: str = "HR") -> Column:
     """Physiologically possible readings. A missing reading is not valid."""
-    plausible = F.col(spo2).between(0, 100) & (F.col(hr) > 0) & (F.col(hr) < 300)
-    return F.coalesce(plausible, F.lit(False))
+    return F.coalesce(plausible(spo2, hr), F.lit(False))
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("SpO2").isNotNull() & F.col("HR").isNotNull()
-                     & F.col("SpO2").between(0, 100) & (F.col("HR") > 0) & (F.col("HR") < 300))
+    """A filter keeps what is true, so it needs no handling of nulls and its bounds can reach the scan."""
+    return df.filter(plausible())
 
 
 def validity_counts(df: DataFrame) -> DataFrame:

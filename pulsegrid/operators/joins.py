@@ -1,18 +1,16 @@
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_grouped(rows: DataFrame, per_group: DataFrame, on: list[str], how: str = "left",
-                 max_rows: int = 100_000) -> DataFrame:
-    """Attach one row per group to the rows of the group.
+def join_grouped(rows: DataFrame, per_group: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Attach one row per group to the rows of the group; null is a group of its own.
 
-    The group table is broadcast when a count shows that it is small, so a group with most of the rows needs no
-    shuffle. A larger one goes through a shuffle join, where the adaptive skew join splits such a group.
+    The adaptive join broadcasts a group table that turns out small and splits a group with most of the rows otherwise.
     """
-    per_group = per_group.persist(StorageLevel.MEMORY_AND_DISK)
-    if per_group.limit(max_rows + 1).count() <= max_rows:
-        per_group = F.broadcast(per_group)
-    return rows.join(per_group, on, how)
+    renamed = per_group.withColumnsRenamed({c: f"_group_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_group_{c}")) for c in on])
+    return rows.join(renamed, same, how).drop(*[f"_group_{c}" for c in on])

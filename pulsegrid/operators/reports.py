@@ -22,18 +22,18 @@ RESIDUAL_BINS = 60
 PROBABILITY_BINS = 50
 DENSITY_POINTS = 200
 SCATTER_SAMPLE = 5_000
-RESIDUAL_SAMPLE = 10_000
-PROBABILITY_SAMPLE = 20_000
-MODELS_SHOWN = 2
+# Fine bins in which a density is gathered before its points are evaluated.
+DENSITY_BINS = 4_096
 
 
 def distinct_models(df: DataFrame) -> DataFrame:
     return df.select("model").distinct()
 
 
-def shown_models(df: DataFrame, count: int = MODELS_SHOWN) -> list[str]:
-    """The first models by name; the driver gets ``count`` names."""
-    return [r.model for r in distinct_models(df).orderBy("model").limit(count).collect()]
+def shown_models(df: DataFrame, count: int | None = None) -> list[str]:
+    """The models by name, all of them or the first ``count``: a pivot has a column for each."""
+    names = distinct_models(df).orderBy("model")
+    return [r.model for r in (names.limit(count) if count else names).collect()]
 
 
 def with_rows(metrics: DataFrame) -> DataFrame:
@@ -133,20 +133,25 @@ def density_curve(df: DataFrame, value: str, by: str, bins: int = RESIDUAL_BINS,
                   points: int = DENSITY_POINTS) -> DataFrame:
     """Gaussian kernel density over evenly spaced points, scaled to the counts of a histogram.
 
-    Bandwidth by Scott's rule. Each task adds its rows up per point before anything is shuffled.
+    Bandwidth by Scott's rule. Rows are counted in fine bins first, and the points are evaluated over the means of the
+    bins, so the work per point does not grow with the rows.
     """
     stats = df.groupBy(by).agg(
         F.count(value).alias("_n"), F.stddev(value).alias("_sd"), F.min(value).alias("_lo"), F.max(value).alias("_hi"),
     ).filter(F.col("_sd") > 0)
     stats = stats.withColumn("_h", F.col("_sd") * F.pow("_n", F.lit(-0.2)))
     placed = join_grouped(df.select(by, value).dropna(), stats, [by], "inner")
-    spread = placed.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    step = (F.col("_hi") - F.col("_lo")) / (points - 1)
+    span = F.col("_hi") - F.col("_lo")
+    fine = F.least(F.floor((F.col(value) - F.col("_lo")) / span * DENSITY_BINS), F.lit(DENSITY_BINS - 1))
+    binned = placed.groupBy(by, "_lo", "_hi", "_h", fine.alias("_bin")).agg(
+        F.count("*").alias("_rows"), F.avg(F.col(value) - F.col("_lo")).alias("_mean"))
+    spread = binned.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    step = span / (points - 1)
     x = F.col("_lo") + F.col("point") * step
-    z = (x - F.col(value)) / F.col("_h")
-    sums = spread.groupBy(by, "point", "_lo", "_hi", "_h").agg(F.sum(F.exp(z * z / -2)).alias("_mass"))
+    z = (F.col("point") * step - F.col("_mean")) / F.col("_h")
+    sums = spread.groupBy(by, "point", "_lo", "_hi", "_h").agg(F.sum(F.col("_rows") * F.exp(z * z / -2)).alias("_mass"))
     # count * bin width * density, where the count cancels against the mean over the rows
-    bin_width = (F.col("_hi") - F.col("_lo")) / bins
+    bin_width = span / bins
     height = F.col("_mass") / (F.col("_h") * math.sqrt(2 * math.pi)) * bin_width
     return sums.select(by, "point", x.alias("x"), height.alias("height"))
 

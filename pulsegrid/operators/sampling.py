@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.hashing import bucket_of, digest
+from pulsegrid.functions.hashing import digest
 
 # Shares of the three parts and the seed of the split.
 SPLIT_SHARES = (0.70, 0.15, 0.15)
@@ -23,8 +23,9 @@ def with_split(df: DataFrame, keys: list[str], shares: tuple[float, ...] = SPLIT
     No shuffle, and the same rows whatever the layout of the input. Splitting on a group key such as the case
     keeps all rows of a group in one part.
     """
-    bucket = bucket_of(digest(*keys, seed=seed), 100)
-    edges = [round(100 * sum(shares[: i + 1])) for i in range(len(shares) - 1)]
+    # The first 32 bits of the digest against fractional edges: shares far below one percent get their rows.
+    bucket = F.conv(F.substring(digest(*keys, seed=seed), 1, 8), 16, 10).cast("bigint")
+    edges = [round(2**32 * sum(shares[: i + 1])) for i in range(len(shares) - 1)]
     part = F.lit(SPLIT_NAMES[-1])
     for name, edge in reversed(list(zip(SPLIT_NAMES, edges))):
         part = F.when(bucket < edge, name).otherwise(part)

@@ -15,7 +15,7 @@ from pulsegrid.operators.models import MODELS, fit_model, load_model, save_model
 from pulsegrid.operators.sampling import SPLIT_NAMES, SPLIT_SEED, SPLIT_SHARES, random_split, with_split
 from pulsegrid.operators.windows import WindowSpec, pollution_results, traffic_results
 from pulsegrid.schemas import TIME_COLUMN
-from pulsegrid.sources.tables import read_table, write_metrics, write_table
+from pulsegrid.sources.tables import read_metrics, read_table, write_metrics, write_table
 from pulsegrid.sources.vitals import read_vitals
 from pulsegrid.streaming.landing import land_closed_windows, land_updates
 
@@ -42,7 +42,7 @@ def run_windows(events: DataFrame, measure: str, spec: WindowSpec, path: str, ch
 def prepare_recordings(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Clean recording files once and land them as Parquet by case; later steps read only the columns they need."""
     write_table(clean(read_vitals(spark, source)), target, partition_by=["case_id"])
-    return read_table(spark, target)
+    return read_table(spark, target, text=("case_id",))
 
 
 def land_splits(rows: DataFrame, out: str, split_keys: list[str] | None = None,
@@ -57,6 +57,11 @@ def land_splits(rows: DataFrame, out: str, split_keys: list[str] | None = None,
     return [read_table(rows.sparkSession, f"{path}/split={name}") for name in SPLIT_NAMES]
 
 
+def landed_metrics(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Metrics as they were written, so that nothing after them measures again."""
+    return read_metrics(spark, path).select(*columns)
+
+
 def train(rows: DataFrame, out: str, names: list[str] | None = None, split_keys: list[str] | None = None,
           shares: tuple[float, ...] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> dict[str, DataFrame]:
     """Fit the models on the training part, keep the parts and the models, and report validation metrics.
@@ -73,7 +78,7 @@ def train(rows: DataFrame, out: str, names: list[str] | None = None, split_keys:
         metrics[kind] = metrics[kind].unionByName(row) if kind in metrics else row
     for kind, rows_of_kind in metrics.items():
         write_metrics(rows_of_kind, f"{out}/train_metrics/{kind}")
-    return metrics
+    return {k: landed_metrics(rows.sparkSession, f"{out}/train_metrics/{k}", m.columns) for k, m in metrics.items()}
 
 
 def predict(spark: SparkSession, out: str, names: list[str] | None = None,
@@ -93,6 +98,7 @@ def predict(spark: SparkSession, out: str, names: list[str] | None = None,
         predictions = read_table(spark, f"{out}/predictions/{kind}")
         metrics[kind] = measure(predictions, conditions=segments(closed_last=closed_last))
         write_metrics(metrics[kind], f"{out}/segment_metrics/{kind}")
+        metrics[kind] = landed_metrics(spark, f"{out}/segment_metrics/{kind}", metrics[kind].columns)
     return metrics
 
 
@@ -105,15 +111,15 @@ def report_tables(classification: DataFrame, regression: DataFrame, class_predic
     class_models, value_models = reports.shown_models(classes), reports.shown_models(values)
     keys = sample_keys or ["model", "case_name", TIME_COLUMN]
     points = reports.scatter_sample(values, keys)
-    sampled = reports.residuals(values, value_models, reports.RESIDUAL_SAMPLE, keys)
+    residuals = reports.residuals(values, value_models)
     return {
         "classification_bars": reports.metric_bars(classification, reports.CLASSIFICATION_BARS, class_models),
         "regression_bars": reports.metric_bars(regression, reports.REGRESSION_BARS, value_models),
         "metric_profile": reports.metric_profile(classification),
         "scatter_points": points,
-        "scatter_bounds": reports.scatter_bounds(points),
+        "scatter_bounds": reports.scatter_bounds(reports.known_predictions(values)),
         "residual_histogram": reports.residual_histogram(values, value_models),
-        "residual_density": reports.density_curve(sampled, "residual", "model"),
+        "residual_density": reports.density_curve(residuals, "residual", "model"),
         "longest_case_trace": reports.longest_case_trace(values),
         "probability_histogram": reports.probability_histogram(classes, class_models),
         "auc_by_segment": reports.auc_by_segment(classification),

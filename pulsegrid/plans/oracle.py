@@ -20,7 +20,7 @@ EMISSIONS = """emissions as (
 
 VITALS = """vitals as (
   select concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) as row_key,
-    printf('vsd_case%02d_fulldata_%02d.csv', l_suppkey % 32 + 1, l_suppkey // 32 + 1) as case_name,
+    printf('vsd_case%02d_fulldata_%02d.csv', l_suppkey % 128 + 1, l_suppkey // 128 + 1) as case_name,
     printf('%02d:%02d:%02d', l_orderkey % 24, l_partkey % 60, l_suppkey % 60) as Time,
     l_orderkey * 10 + l_linenumber as RelativeTimeMilliseconds,
     h.HR, case when l_quantity = 50 then 101.0::double else 90 + l_discount * 100 end as SpO2,
@@ -144,6 +144,14 @@ DAILY = windows("1 day")
 SLIDING = windows("10 minutes", "2 minutes", 5)
 TEN_MINUTES = windows("10 minutes")
 TRUCKS = windows("1 day", where="vehicle_type = 'truck_truck'")
+# Events moved to the first hours of 1970, so that bounds in milliseconds have different numbers of digits.
+TEN_EPOCH = """with early as (select round(40.40::double + (event_id % 7) * 0.001::double + 0.0002::double, 3) as lat,
+    round(-3.70::double - (user_id % 5) * 0.001::double - 0.0002::double, 3) as lon,
+    ((event_id % 20000000) // 600000 + 1) * 600000 as window_end from (select event_id * 7919 as event_id, user_id from events))"""
+REVISED = """with revised as (select lat, lon, window_end, batch_id, count(*) as vehicle_count from (select
+    round(40.40::double + (event_id % 7) * 0.001::double + 0.0002::double, 3) as lat,
+    round(-3.70::double - (user_id % 5) * 0.001::double - 0.0002::double, 3) as lon,
+    strftime(date_trunc('day', ts) + interval 1 day, '%Y-%m-%d %H:%M:%S') as window_end, event_id % 13 as batch_id from events) group by all)"""
 LATEST = """latest as (select * exclude (rn) from (select *, row_number() over (partition by lat, lon
     order by window_end desc, window_start desc) as rn from {}) where rn = 1)"""
 
@@ -215,7 +223,7 @@ COPIES = FILES + """, rounds as (
 copies as (select case when copy > 0 then 'copy' || copy || '_' || source_name else source_name end as file_name,
     source_name, size, copy from rounds)"""
 
-LANDED = """landed as (select distinct printf('vsd_case%02d_fulldata_%02d.csv', s_suppkey % 32 + 1, s_suppkey // 32 + 1)
+LANDED = """landed as (select distinct printf('vsd_case%02d_fulldata_%02d.csv', s_suppkey % 128 + 1, s_suppkey // 128 + 1)
   as file_name from supplier where s_acctbal > 5000)"""
 
 
@@ -239,8 +247,9 @@ def bars(source: str, metrics: list[str], models: list[str], by_metric: bool = T
 STATS = """min({0}) as min, max({0}) as max, round(avg({0}), 4) as mean, round(stddev_samp({0}), 4) as std_dev,
   round(var_samp({0}), 4) as variance, quantile_disc({0}, 0.5) as median, count(*) as samples_count"""
 
-SPLIT = """case when ('0x' || substr(md5('11|' || {0}), 1, 8))::bigint % 100 < 70 then 'train'
-  when ('0x' || substr(md5('11|' || {0}), 1, 8))::bigint % 100 < 85 then 'val' else 'test' end"""
+_DRAW = "('0x' || substr(md5('11|' || {0}), 1, 8))::bigint"
+SPLIT = f"""case when {_DRAW} < {round(0.7 * 2**32)} then 'train' when {_DRAW} < {round(0.85 * 2**32)} then 'val' else 'test' end"""
+SMALL_SHARES = f"""case when {_DRAW} < {round(0.99 * 2**32)} then 'train' when {_DRAW} < {round(0.994 * 2**32)} then 'val' else 'test' end"""
 
 SCATTER = KNOWN_VALUES + """, points as (select * from (select model, row_key, label_regression, prediction
   from value_predictions order by md5(concat_ws('|', '42', model, row_key)), model, row_key limit 5000))"""
@@ -284,15 +293,14 @@ select file_name, size from walk where taken"""
     from value_predictions),
   stats as (select model, min(residual) as lo, max(residual) as hi,
     stddev_samp(residual) * pow(count(*), -0.2::double) as h from residuals group by model),
+  binned as (select model, lo, hi, h, least(floor((residual - lo) / (hi - lo) * 4096), 4095) as bin, count(*) as c, avg(residual - lo) as m
+    from residuals join stats using (model) group by all),
   mass as (select model, p as point, lo, hi, h,
-    sum(exp(-0.5::double * pow((lo + p * ((hi - lo) / 199) - residual) / h, 2))) as mass
-    from residuals join stats using (model), range(200) t(p) group by model, p, lo, hi, h)
+    sum(c * exp(-0.5::double * pow((p * ((hi - lo) / 199) - m) / h, 2))) as mass
+    from binned, range(200) t(p) group by model, p, lo, hi, h)
   select model, point::int as point, round(lo + point * ((hi - lo) / 199), 6) as x,
     round(mass / (h * sqrt(2 * pi())) * ((hi - lo) / 60), 4) as height from mass"""
 
-    sampled_density = density.replace("from value_predictions)", """from (select model, prediction, label_regression
-    from value_predictions order by md5(concat_ws('|', '42', model, row_key)), model, row_key limit 10000))""")
-
     sql = {
         "filter_sort_top20": f"with {VITALS} select case_name, Time, HR from vitals where HR > 100 "
                              "order by RelativeTimeMilliseconds, case_name, Time, HR limit 20",
@@ -308,7 +316,7 @@ select file_name, size from walk where taken"""
         "profile_vitals": f"with {VITALS} " + " union all ".join(
             f"""select '{c}' as "column", count(*) as rows, count(*) - count({c}) as nulls from vitals"""
             for c in VITALS_COLUMNS),
-        "case_names": f"with {VITALS} select case_name, substr(case_name, 9, 2) as case_id, count(*) as rows "
+        "case_names": f"with {VITALS} select case_name, regexp_extract(case_name, 'case([0-9]+)', 1) as case_id, count(*) as rows "
                       "from vitals group by case_name",
         "valid_rows": f"with {VITALS} select case_name, count(*) as rows, round(avg(HR), 4) as mean_hr from vitals "
                       f"where {clipped} group by case_name",
@@ -382,6 +390,9 @@ select file_name, size from walk where taken"""
                               "select * from pollution",
         "stream_latest_per_cell": f"{daily_co2}, {LATEST.format('pollution')} select * from latest",
         "latest_per_cell_daily": f"{daily_co2}, {LATEST.format('pollution')} select * from latest",
+        "latest_epoch_ms": f"""{TEN_EPOCH} select lat, lon, max(window_end)::varchar as window_end from early group by lat, lon""",
+        "latest_of_revisions": f"""{REVISED} select lat, lon, window_end, batch_id, vehicle_count from
+          (select *, row_number() over (partition by lat, lon order by window_end desc, batch_id desc) as rn from revised) where rn = 1""",
         "latest_traffic_per_cell": f"{daily_traffic}, {LATEST.format('traffic')} select * from latest",
         "first_window_metadata": f"{sliding_co2} select window_type, window_duration from pollution "
                                  "order by window_start, window_end limit 1",
@@ -409,8 +420,9 @@ select file_name, size from walk where taken"""
 
         "hash_split": f"with {LABELLED} select {SPLIT.format('row_key')} as split, count(*) as rows, "
                       "sum(RelativeTimeMilliseconds)::bigint as time_sum from labelled group by 1",
-        "case_split": f"with {LABELLED} select {SPLIT.format('substr(case_name, 9, 2)')} as split, "
-                      "substr(case_name, 9, 2) as case_id, count(*) as rows from labelled group by 1, 2",
+        "case_split": f"with {LABELLED} select {SPLIT.format("regexp_extract(case_name, 'case([0-9]+)', 1)")} as split, "
+                      "regexp_extract(case_name, 'case([0-9]+)', 1) as case_id, count(*) as rows from labelled group by 1, 2",
+        "small_share_split": f"with {LABELLED} select {SMALL_SHARES.format('row_key')} as split, count(*) as rows from labelled group by 1",
         "capped_sample": f"with {LABELLED} select row_key, HR, SpO2 from labelled "
                          "order by md5('42|' || row_key), row_key limit 5000",
 
@@ -429,12 +441,11 @@ select file_name, size from walk where taken"""
           from class_metrics where segment = 'full_test') union all select * from (with {SEGMENT_VALUE}
           select model, 'r2', r2 from value_metrics where segment = 'full_test')""",
         "pred_vs_actual": f"with {SCATTER} select model, label_regression, prediction from points",
-        "pred_vs_actual_bounds": f"""with {SCATTER} select model, least(min(label_regression), min(prediction)) as lo,
-          greatest(max(label_regression), max(prediction)) as hi from points group by model""",
+        "pred_vs_actual_bounds": f"""with {KNOWN_VALUES} select model, least(min(label_regression), min(prediction)) as lo,
+          greatest(max(label_regression), max(prediction)) as hi from value_predictions group by model""",
         "residual_hist": f"with {KNOWN_VALUES}, residuals as (select model, prediction - label_regression as residual "
                          f"from value_predictions), {histogram('residuals', 'residual', 60, 'model')}",
         "residual_density": f"with {density}",
-        "residual_density_sampled": f"with {sampled_density}",
         "prob_hist": f"with {LABELLED}, {class_predictions('labelled')}, "
                      + histogram("class_predictions", "probability", 50, "model, label_classification"),
         "prob_from_text": f"""with {LABELLED}, {class_predictions('labelled')} select model, count(*) as rows,
@@ -467,7 +478,7 @@ select file_name, size from walk where taken"""
                           "count(*) filter (l.file_name is not null) as skipped "
                           "from files f left join landed l using (file_name)",
         "landing_check": f"""with {FILES} select count(*) as files, round(sum(size) / (1024.0::double ** 3), 9) as gb,
-          count(distinct substr(file_name, 9, 2)) as cases, min(substr(file_name, 9, 2)) as first_case,
-          max(substr(file_name, 9, 2)) as last_case from files""",
+          count(distinct regexp_extract(file_name, 'case([0-9]+)', 1)) as cases, min(regexp_extract(file_name, 'case([0-9]+)', 1)) as first_case,
+          max(regexp_extract(file_name, 'case([0-9]+)', 1)) as last_case from files""",
     }
     return sql

@@ -13,7 +13,6 @@ from pulsegrid.functions.text import base_name, case_id
 from pulsegrid.functions.times import from_epoch_ms
 from pulsegrid.operators import cleaning, evaluation, maps, reports, sampling, stats
 from pulsegrid.operators.latest import latest_per_cell, window_metadata
-from pulsegrid.operators.layout import at_least
 from pulsegrid.operators.models import MODELS, fit_model, load_model, save_model, score, validation_metrics
 from pulsegrid.operators.windows import WindowSpec, pollution_results, traffic_results
 from pulsegrid.plans import jobs
@@ -441,6 +440,28 @@ def latest_per_cell_daily(spark, sf_dir):
     return latest_per_cell(pollution_results(emissions(spark, sf_dir), DAILY, "CO2"))
 
 
+@query
+def latest_epoch_ms(spark, sf_dir):
+    """Window bounds in milliseconds soon after 1970, as text of different lengths."""
+    shifted = table(spark, sf_dir, "events").select(
+        F.round(40.40 + (F.col("event_id") * 7919 % 7) * 0.001 + 0.0002, 3).alias("lat"),
+        F.round(-3.70 - (F.col("user_id") % 5) * 0.001 - 0.0002, 3).alias("lon"),
+        ((F.floor(F.col("event_id") * 7919 % 20_000_000 / 600_000) + 1) * 600_000).cast("string").alias("window_end"),
+    ).withColumn("window_start", (F.col("window_end").cast("long") - 600_000).cast("string"))
+    return latest_per_cell(shifted).select("lat", "lon", "window_end")
+
+
+@query
+def latest_of_revisions(spark, sf_dir):
+    """Several revisions of each window: the last batch wins."""
+    revised = emissions(spark, sf_dir).groupBy(
+        F.round("lat", 3).alias("lat"), F.round("lon", 3).alias("lon"),
+        F.date_format(F.date_trunc("day", "event_time") + F.expr("interval 1 day"), "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+        (F.col("event_id") % 13).alias("batch_id")).agg(F.count("*").alias("vehicle_count"))
+    latest = latest_per_cell(revised.withColumn("window_start", F.col("window_end")))
+    return latest.select("lat", "lon", "window_end", "batch_id", "vehicle_count")
+
+
 @query
 def latest_traffic_per_cell(spark, sf_dir):
     return latest_per_cell(traffic_results(emissions(spark, sf_dir), WindowSpec("1 day", distinct="exact")))
@@ -497,6 +518,13 @@ def hash_split(spark, sf_dir):
                                      F.sum("RelativeTimeMilliseconds").alias("time_sum"))
 
 
+@query
+def small_share_split(spark, sf_dir):
+    """Shares below one percent get their rows."""
+    rows = sampling.with_split(labelled_vitals(spark, sf_dir), ["row_key"], (0.99, 0.004, 0.006))
+    return rows.groupBy("split").agg(F.count("*").alias("rows"))
+
+
 @query
 def case_split(spark, sf_dir):
     """Whole cases go to one part."""
@@ -524,7 +552,7 @@ def _model_metrics(spark, sf_dir, name: str) -> DataFrame:
     path = shared_dir(spark, f"model-{name}")
     train, _, test = sampling.hash_split(_timed(spark, sf_dir), ["row_key"])
     tables.write_table(test, f"{path}/test")
-    fitted = fit_model(name, at_least(train, spark.sparkContext.defaultParallelism))
+    fitted = fit_model(name, train)
     save_model(fitted, f"{path}/model")
     scored = score(name, load_model(f"{path}/model"), tables.read_table(spark, f"{path}/test"))
     tables.write_table(scored, f"{path}/predictions")
@@ -557,8 +585,7 @@ def gbt_reg(spark, sf_dir):
 def training_summary(spark, sf_dir):
     """Validation metrics of a small grid search."""
     train, val, _ = sampling.hash_split(labelled_vitals(spark, sf_dir), ["row_key"])
-    fitted = fit_model("RF_Regressor", at_least(train, spark.sparkContext.defaultParallelism),
-                       grid={"numTrees": [5], "maxDepth": [3, 5]}, folds=2)
+    fitted = fit_model("RF_Regressor", train, grid={"numTrees": [5], "maxDepth": [3, 5]}, folds=2)
     return validation_metrics(fitted, val)
 
 
@@ -622,7 +649,7 @@ def pred_vs_actual(spark, sf_dir):
 
 @query
 def pred_vs_actual_bounds(spark, sf_dir):
-    return reports.scatter_bounds(reports.scatter_sample(_values(spark, sf_dir), ["model", "row_key"]))
+    return reports.scatter_bounds(reports.known_predictions(_values(spark, sf_dir)))
 
 
 @query
@@ -637,14 +664,6 @@ def residual_density(spark, sf_dir):
     return curve.withColumns({"x": F.round("x", 6), "height": F.round("height", 4)})
 
 
-@query
-def residual_density_sampled(spark, sf_dir):
-    """The density of a report: over a seeded sample of 10,000 rows."""
-    sample = reports.residuals(_values(spark, sf_dir), VALUE_MODELS, reports.RESIDUAL_SAMPLE, ["model", "row_key"])
-    curve = reports.density_curve(sample, "residual", "model")
-    return curve.withColumns({"x": F.round("x", 6), "height": F.round("height", 4)})
-
-
 @query
 def prob_hist(spark, sf_dir):
     counted = reports.probability_histogram(_classes(spark, sf_dir), CLASS_MODELS)

@@ -51,8 +51,8 @@ def _padded(number: Column) -> Column:
 
 
 def recording_name(supplier: str) -> Column:
-    """File name of a supplier's recording: 32 cases, numbered files."""
-    case, file = F.col(supplier) % 32 + 1, F.floor(F.col(supplier) / 32) + 1
+    """File name of a supplier's recording: 128 cases, numbered files."""
+    case, file = F.col(supplier) % 128 + 1, F.floor(F.col(supplier) / 128) + 1
     return F.concat(F.lit("vsd_case"), _padded(case), F.lit("_fulldata_"), _padded(file), F.lit(".csv"))
 
 

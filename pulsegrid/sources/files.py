@@ -166,6 +166,8 @@ def land_new_files(spark: SparkSession, source: str, target: str, checkpoint: st
     rows = (
         spark.readStream.schema(schema)
         .option("header", "true")
+        # A file with its columns in another order stops the stream instead of landing under wrong names.
+        .option("enforceSchema", "false")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .csv(source)

@@ -16,8 +16,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, text: tuple[str, ...] = ()) -> DataFrame:
+    """``text`` names partition columns that stay text: a case "01" would come back as the number 1."""
+    table = spark.read.parquet(path)
+    if not text:
+        return table
+    kinds = T.StructType([T.StructField(f.name, T.StringType()) if f.name in text else f for f in table.schema])
+    return spark.read.schema(kinds).parquet(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

@@ -103,10 +103,10 @@ def test_time_norm(spark):
     assert {r.time_norm for r in ev.with_time_norm(constant).collect()} == {0.0}
 
 
-def test_grouped_join_beyond_the_bound(spark):
+def test_grouped_join_keeps_null_groups(spark):
     from pulsegrid.operators.joins import join_grouped
 
-    rows = spark.range(100).selectExpr("id % 10 as k", "id")
-    groups = rows.groupBy("k").count()
-    small, large = join_grouped(rows, groups, ["k"]), join_grouped(rows, groups, ["k"], max_rows=3)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    rows = spark.range(100).selectExpr("if(id % 10 = 3, null, id % 10) as k", "id")
+    joined = join_grouped(rows, rows.groupBy("k").count(), ["k"])
+    assert joined.columns == ["k", "id", "count"]
+    assert {(r.k, r["count"]) for r in joined.collect()} == {(k if k != 3 else None, 10) for k in range(10)}

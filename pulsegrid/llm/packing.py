@@ -24,7 +24,7 @@ from pulsegrid.llm.words import pieces
 
 LENGTH, END_ID = 4096, 2
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 
 _known: dict[str, tuple[object, dict[bytes, bytes]]] = {}
 
@@ -44,7 +44,24 @@ def _tokenizer(path: str) -> tuple[object, dict[bytes, bytes]]:
     return tokenizer, ids
 
 
+def _bare(word: bytes) -> bytes:
+    """The word without a comma or stop behind its letters; other words as they are.
+
+    This tokenizer splits letters from what is no letter, so the mark's ids can be put behind the letters' ids.
+    """
+    letters = word[:-1].decode() if word[-1:] in (b",", b".") else ""
+    return word[:-1] if letters.isalpha() and max(letters) < "\u0250" else word
+
+
 def _learn(tokenizer, ids: dict[bytes, bytes], words: list[bytes]) -> None:
+    bare = {w: _bare(w) for w in words}
+    _encode_into(tokenizer, ids, sorted({b for b in [*bare.values(), b",", b"."] if b not in ids}))
+    for word, letters in bare.items():
+        if word is not letters:
+            ids[word] = ids[letters] + ids[word[-1:]]
+
+
+def _encode_into(tokenizer, ids: dict[bytes, bytes], words: list[bytes]) -> None:
     texts = [w.decode() for w in words]
     plain = [t for t in texts if "<|" not in t]
     found = tokenizer.encode(plain, is_pretokenized=True, add_special_tokens=False) if plain else None

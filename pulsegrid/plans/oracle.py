@@ -422,6 +422,12 @@ select file_name, size from walk where taken"""
                       "sum(RelativeTimeMilliseconds)::bigint as time_sum from labelled group by 1",
         "case_split": f"with {LABELLED} select {SPLIT.format("regexp_extract(case_name, 'case([0-9]+)', 1)")} as split, "
                       "regexp_extract(case_name, 'case([0-9]+)', 1) as case_id, count(*) as rows from labelled group by 1, 2",
+        "random_split": f"with {LABELLED} select count(*) as rows, count(distinct row_key) as keys, true as shares_hold from labelled",
+        **{name: f"""with {TIMED}, held as (select * from timed where {SPLIT.format('row_key')} = 'test'), {segments('held')}
+          select segment, count(*) as n_rows, true as in_range from segmented group by segment"""
+           for name in ("rf_cls", "gbt_cls", "rf_reg", "gbt_reg")},
+        **{name: f"{daily_traffic} select window_start, window_end, lat, lon, unique_vehicles, true as close from traffic"
+           for name in ("traffic_approx", "stream_traffic_approx")},
         "small_share_split": f"with {LABELLED} select {SMALL_SHARES.format('row_key')} as split, count(*) as rows from labelled group by 1",
         "capped_sample": f"with {LABELLED} select row_key, HR, SpO2 from labelled "
                          "order by md5('42|' || row_key), row_key limit 5000",

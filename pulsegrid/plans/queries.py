@@ -249,7 +249,16 @@ def traffic_sliding(spark, sf_dir):
 
 @query
 def traffic_approx(spark, sf_dir):
-    return traffic_results(emissions(spark, sf_dir), DAILY)
+    """Approximate vehicle counts beside the exact ones."""
+    return _beside_exact(spark, sf_dir, traffic_results(emissions(spark, sf_dir), DAILY))
+
+
+def _beside_exact(spark, sf_dir, approximate: DataFrame) -> DataFrame:
+    """Exact counts, and whether the approximate one is within three of its standard deviations (5 %) and one."""
+    exact = traffic_results(emissions(spark, sf_dir), WindowSpec("1 day", distinct="exact")).select(*CELL_WINDOW, "unique_vehicles")
+    off = F.abs(F.col("approximate") - F.col("unique_vehicles"))
+    rows = approximate.select(*CELL_WINDOW, F.col("unique_vehicles").alias("approximate")).join(exact, CELL_WINDOW, "full")
+    return rows.select(*CELL_WINDOW, "unique_vehicles", F.coalesce(off <= 0.15 * F.col("unique_vehicles") + 1, F.lit(False)).alias("close"))
 
 
 @query
@@ -388,7 +397,7 @@ def stream_traffic_approx(spark, sf_dir):
                                trigger=ONCE)
     _finish(running)
     schema = traffic_results(emissions(spark, sf_dir), DAILY).schema
-    return last_revision(read_revisions(spark, f"{path}/table", schema), CELL_WINDOW)
+    return _beside_exact(spark, sf_dir, last_revision(read_revisions(spark, f"{path}/table", schema), CELL_WINDOW))
 
 
 @query
@@ -535,10 +544,14 @@ def case_split(spark, sf_dir):
 
 @query
 def random_split(spark, sf_dir):
-    parts = sampling.random_split(labelled_vitals(spark, sf_dir))
-    counts = [p.agg(F.lit(n).alias("split"), F.count("*").alias("rows"))
-              for n, p in zip(sampling.SPLIT_NAMES, parts)]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """All rows in one pass over the parts: none lost or drawn twice, shares as asked for."""
+    parts = sampling.random_split(labelled_vitals(spark, sf_dir).select("row_key"))
+    marked = [p.select("row_key", F.lit(n).alias("split")) for n, p in zip(sampling.SPLIT_NAMES, parts)]
+    per_row = marked[0].unionByName(marked[1]).unionByName(marked[2]).groupBy("row_key").agg(
+        F.count("*").alias("draws"), F.min("split").alias("split"))
+    share = lambda name: F.avg((F.col("split") == name).cast("double"))
+    held = [F.abs(share(n) - s) < 0.03 for n, s in zip(sampling.SPLIT_NAMES, sampling.SPLIT_SHARES)]
+    return per_row.agg(F.sum("draws").alias("rows"), F.count("*").alias("keys"), (held[0] & held[1] & held[2]).alias("shares_hold"))
 
 
 @query
@@ -558,7 +571,12 @@ def _model_metrics(spark, sf_dir, name: str) -> DataFrame:
     tables.write_table(scored, f"{path}/predictions")
     predictions = tables.read_table(spark, f"{path}/predictions")
     measure = evaluation.classification_metrics if MODELS[name].classifies else evaluation.regression_metrics
-    return measure(predictions, conditions=evaluation.segments())
+    found = measure(predictions, conditions=evaluation.segments())
+    if MODELS[name].classifies:
+        sound = F.least("auc", "accuracy", "f1", "precision", "recall").between(0, 1) & F.greatest("auc", "accuracy").between(0.5, 1)
+    else:
+        sound = (F.col("rmse") >= F.col("mae")) & (F.col("mae") >= 0) & (F.col("r2") <= 1)
+    return found.select("segment", "n_rows", sound.alias("in_range"))
 
 
 @query

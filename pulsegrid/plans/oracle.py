@@ -378,6 +378,8 @@ select file_name, size from walk where taken"""
           case when event_id % 11 <> 0 then vehicle_id end as vehicle_id, vehicle_type, eclass, lat, lon, speed,
           0::double as angle, CO2, 0::double as CO, case when event_id % 5 <> 0 then noise else 0 end as noise,
           trunc(timestep * 1000)::bigint as event_time_ms from placed""",
+        "xml_rejects": "select case when event_id % 17 = 0 then 'rejected' else 'accepted' end as kind, count(*) as timesteps "
+                       "from events group by 1",
         "grid_to_wgs84": f"with {xy}, {wgs84('xy')} select event_id, lat, lon from placed",
         "stream_pollution_update": f"{ten_co2} select * from pollution",
         "stream_pollution_final": sliding_co2.replace("from windowed", f"from windowed where we <= {closed}")

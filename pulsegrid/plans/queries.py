@@ -340,6 +340,17 @@ def xml_emissions(spark, sf_dir):
                        "CO", "noise", "event_time_ms")
 
 
+@query
+def xml_rejects(spark, sf_dir):
+    """Timesteps as text, some of them not well formed: none disappears without being counted."""
+    broken = F.col("event_id") % 17 == 0
+    text = F.format_string("<timestep time=\"%d.0\"><vehicle id=\"veh%d\" CO2=%s1.5\"/>", "event_id", "user_id", F.when(broken, "").otherwise('"'))
+    decoded = events_io.timesteps_from_text(table(spark, sf_dir, "events").select(text.alias("value")))
+    good, bad = events_io.accepted(decoded), events_io.rejected(decoded)
+    return good.agg(F.lit("accepted").alias("kind"), F.count("*").alias("timesteps")).unionByName(
+        bad.agg(F.lit("rejected").alias("kind"), F.count("value").alias("timesteps")))
+
+
 @query
 def grid_to_wgs84(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(

@@ -24,19 +24,27 @@ def read_emission_xml(spark: SparkSession, path: str, stream: bool = False,
     reader = (spark.readStream if stream else spark.read).option("lineSep", _CLOSING_TAG)
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return vehicles_to_events(timesteps_from_text(reader.text(path)))
+    return vehicles_to_events(accepted(timesteps_from_text(reader.text(path))))
+
+
+def rejected_timesteps(spark: SparkSession, path: str) -> DataFrame:
+    """Text of the timesteps of a document that are no well-formed elements, in column ``value``."""
+    return rejected(timesteps_from_text(spark.read.option("lineSep", _CLOSING_TAG).text(path)))
 
 
 def timesteps_from_text(pieces: DataFrame, value: str = "value") -> DataFrame:
     """Parse pieces of text that each end where a closing timestep tag stood.
 
     What precedes the last opening tag of a piece is the head of the document or timesteps without vehicles, and
-    the piece behind the last timestep has no vehicle either.
+    the piece behind the last timestep has no vehicle either. A timestep that is not well formed keeps its text in the
+    reject column.
     """
     with_vehicle = pieces.filter(F.contains(F.col(value), F.lit("<vehicle")))
     last = F.substring_index(F.col(value), _OPENING_TAG, -1)
     element = F.concat(F.lit(_OPENING_TAG), last, F.lit(_CLOSING_TAG))
-    return with_vehicle.select(F.from_xml(element, EMISSION_XML).alias("step")).select("step.*")
+    with_rejects = T.StructType(EMISSION_XML.fields + [T.StructField(REJECT_COLUMN, T.StringType())])
+    parsed = F.from_xml(element, with_rejects, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN})
+    return with_vehicle.select(parsed.alias("step")).select("step.*")
 
 
 def vehicles_to_events(timesteps: DataFrame) -> DataFrame:

@@ -43,6 +43,13 @@ def test_xml(spark, document):
     assert (car.lat, car.lon, car.speed, car.CO2, car.noise) == (40.339276, -3.751066, 0.0, 0.0, 0.0)
 
 
+def test_xml_rejects(spark, tmp_path):
+    good = '<timestep time="1.0"><vehicle id="a" x="1" y="2"/></timestep>'
+    (tmp_path / "bad.xml").write_text(f"<emission-export>{good}<timestep time=\"2.0\"><vehicle id=oops></timestep>{good}</emission-export>")
+    assert em.read_emission_xml(spark, str(tmp_path / "bad.xml")).count() == 2
+    assert ["oops" in r.value for r in em.rejected_timesteps(spark, str(tmp_path / "bad.xml")).collect()] == [True]
+
+
 def test_xml_stream(spark, document):
     path = shared_dir(spark, "xml-stream")
     stream = em.read_emission_xml(spark, document, stream=True, max_files_per_trigger=1)

@@ -111,7 +111,7 @@ def residuals(predictions: DataFrame, models: list[str], rows: int | None = None
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str]) -> DataFrame:
-    """Counts of the filled bins between the extremes of each group; the last bin is closed."""
+    """Counts of all bins between the extremes of each group, empty ones too; the last bin is closed."""
     df = df.select(*by, value)
     extremes = df.groupBy(*by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     placed = join_grouped(df, extremes, by, "inner")
@@ -119,7 +119,11 @@ def histogram(df: DataFrame, value: str, bins: int, by: list[str]) -> DataFrame:
     width = (F.col("hi") - F.col("lo")) / bins
     counted = placed.groupBy(*by, "lo", "hi", F.least(number, F.lit(bins)).cast("int").alias("bin")).agg(
         F.count("*").alias("count"))
-    return counted.select(
+    # At most ``bins`` entries per group.
+    filled = counted.groupBy(*by, "lo", "hi").agg(F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("_filled"))
+    every = filled.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins)))).withColumn(
+        "count", F.coalesce(F.try_element_at("_filled", F.col("bin")), F.lit(0)))
+    return every.select(
         *by, "bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
         (F.col("lo") + F.col("bin") * width).alias("bin_hi"), "count",
     )

@@ -230,9 +230,11 @@ LANDED = """landed as (select distinct printf('vsd_case%02d_fulldata_%02d.csv',
 def histogram(source: str, value: str, bins: int, by: str) -> str:
     return f"""extremes as (select {by}, min({value}) as lo, max({value}) as hi from {source} group by {by}),
 bins as (select {by}, lo, hi, coalesce(least({bins}, floor({bins} * ({value} - lo) / nullif(hi - lo, 0)) + 1), 1)::int
-    as bin from {source} join extremes using ({by}))
+    as bin from {source} join extremes using ({by})),
+counted as (select {by}, bin, count(*) as count from bins group by {by}, bin),
+every as (select *, unnest(range(1, {bins} + 1))::int as bin from extremes)
 select {by}, bin, round(lo + (bin - 1) * ((hi - lo) / {bins}), 6) as bin_lo,
-  round(lo + bin * ((hi - lo) / {bins}), 6) as bin_hi, count(*) as count from bins group by {by}, lo, hi, bin"""
+  round(lo + bin * ((hi - lo) / {bins}), 6) as bin_hi, coalesce(count, 0) as count from every left join counted using ({by}, bin)"""
 
 
 def bars(source: str, metrics: list[str], models: list[str], by_metric: bool = True) -> str:

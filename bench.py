@@ -22,7 +22,8 @@ HEADLINE = [
     "pollution_tumbling", "pollution_sliding", "pollution_all", "traffic_exact", "traffic_sliding",
     "traffic_approx", "pollution_json_roundtrip", "xml_emissions", "grid_to_wgs84", "pollution_map_layer",
     "traffic_map_layer", "residual_hist", "prob_hist", "longest_case_trace", "hash_split", "capped_sample",
-    "budget_sample", "stream_pollution_update", "stream_pollution_final", "stream_traffic", "rf_reg",
+    "budget_sample", "greedy_budget_sample", "residual_density", "time_norm_per_case", "landing_stream",
+    "stream_pollution_update", "stream_pollution_final", "stream_traffic", "rf_reg",
 ]
 
 

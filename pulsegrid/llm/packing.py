@@ -47,10 +47,11 @@ def _tokenizer(path: str) -> tuple[object, dict[bytes, bytes]]:
 def _bare(word: bytes) -> bytes:
     """The word without a comma or stop behind its letters; other words as they are.
 
-    This tokenizer splits letters from what is no letter, so the mark's ids can be put behind the letters' ids.
+    This tokenizer splits letters from what is no letter, so the mark's ids can be put behind the letters' ids. It writes
+    U+0130 in lower case as i and a combining dot, which is no letter and goes with the mark, so such words stay whole.
     """
     letters = word[:-1].decode() if word[-1:] in (b",", b".") else ""
-    return word[:-1] if letters.isalpha() and max(letters) < "\u0250" else word
+    return word[:-1] if letters.isalpha() and max(letters) < "\u0250" and "\u0130" not in letters else word
 
 
 def _learn(tokenizer, ids: dict[bytes, bytes], words: list[bytes]) -> None:

@@ -225,6 +225,15 @@ def test_packing_places_every_token_once(docs, texts, none, spark) -> None:
     assert packing.packed_pieces(none, path).count() == 0
 
 
+def test_packing_encodes_marks_behind_letters_as_the_tokenizer_does() -> None:
+    tokenizer, ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), {}
+    letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha()]
+    words = [w + mark for c in letters for w in (c, "foo" + c, c + "foo", "fo" + c + "o") for mark in ",."]
+    packing._learn(tokenizer, ids, [w.encode() for w in words])
+    want = {w: tokenizer.encode(w, add_special_tokens=False).ids for w in words}
+    assert not [w for w, x in want.items() if ids[w.encode()] != struct.pack(f"<{len(x)}I", *x)]
+
+
 def test_bpe_round_trip(docs, texts, none) -> None:
     path = tokenizer_path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)

@@ -6,6 +6,12 @@ case. Document frequencies of the templates' terms are counted over the units of
 that no unit holds. A file's own licence is its best template with a cosine of at least ``HEADER``. A file without one
 takes that of the licence file in the nearest directory above it, found by a join on directory paths.
 
+Licence files, and texts that hold a licence word, are also compared as a whole with the full texts in the folder
+``licence_texts``; there a cosine of at least ``FULL`` counts, before that of any line, and makes the text a licence file.
+The frequencies for that are those of the full texts, and lines that name an owner are left out, so the verdict depends
+neither on other files nor on the holder's name. ``SPDX-License-Identifier`` lines, and lines of licence files that are
+no more than a title, have a cosine of 1 to the licence they name.
+
 Defined cases: null and empty texts and paths have no units and may inherit nothing if the path is null; equal cosines
 are decided by the larger licence name, several licence files of one directory by cosine, then licence name; repeated
 rows are scanned alike; no rows, no results; columns other than the id, path and text are not read.
@@ -13,10 +19,15 @@ rows are scanned alike; no rows, no results; columns other than the id, path and
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.shared import kept
+from pulsegrid.llm.shared import kept, union_all
 
 # Notices by which the licences ask to be named.
 TEMPLATES = {
@@ -34,6 +45,21 @@ TEMPLATES = {
 LICENCE_WORD = r"(?i)licen[cs]e|copyright|redistribution|spdx"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 HEADER, WHOLE = 0.7, 0.8
+#: Different licences come to 0.92 (GPL-2.0 and GPL-3.0) or, as versions, more; then the better one wins.
+FULL = 0.93
+OWNER = r"(?m)^[^a-z0-9\n]*copyright[ \t]+(\(c\)|©|[0-9]{4}).*$"
+SPDX = r"(?i)spdx-license-identifier:[ \t]*(.*)"
+# Lines that are nothing but a title, as their terms.
+TITLES = {
+    "mit license": "MIT",
+    "the mit license": "MIT",
+    "the mit license mit": "MIT",
+    "apache license version 2 0": "Apache-2.0",
+    "bsd 3 clause license": "BSD-3-Clause",
+    "mozilla public license version 2 0": "MPL-2.0",
+    **{f"{start}{terms} 4 0 international{end}": name for start, end in (("", ""), ("creative commons ", ""), ("creative commons ", " public license"))
+       for terms, name in (("attribution", "CC-BY-4.0"), ("attribution noncommercial", "CC-BY-NC-4.0"), ("attribution sharealike", "CC-BY-SA-4.0"))},
+}
 
 
 def _terms(text: Column) -> Column:
@@ -44,7 +70,45 @@ def _counted(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
-def scanned(files: DataFrame, templates: dict[str, str] | None = None, header: float = HEADER, whole: float = WHOLE) -> DataFrame:
+def full_texts() -> dict[str, str]:
+    """The full licence texts, read where the plan is made."""
+    return {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8") for f in (resources.files("pulsegrid.llm") / "licence_texts").iterdir()}
+
+
+def _full_matches(source: DataFrame, texts: dict[str, str], full: float) -> DataFrame:
+    """(id, path, is_file, best) of the whole texts that come close to a full licence text."""
+    counted = {k: Counter(re.findall("[a-z0-9]+", re.sub(OWNER, "", v.lower()))) for k, v in texts.items()}
+    weights = {t: math.log((1 + len(texts)) / (1 + n)) + 1 for t, n in Counter(t for c in counted.values() for t in c).items()}
+    norms = {k: math.sqrt(sum((n * weights[t]) ** 2 for t, n in c.items())) for k, c in counted.items()}
+    # Some hundred or thousand terms for each of a few texts.
+    known = source.sparkSession.createDataFrame(
+        [(k, t, n * weights[t] / norms[k], weights[t]) for k, c in counted.items() for t, n in c.items()], "licence string, term string, t double, idf double")
+    units = kept(source.filter(F.col("text").isNotNull() & (F.col("named") | F.col("text").rlike(LICENCE_WORD))).select(
+        "id", "path", F.xxhash64("id", "path", "text").alias("key"), _terms(F.regexp_replace(F.lower("text"), OWNER, "")).alias("terms")), "license-texts")
+    weighed = _counted(units, "key").join(F.broadcast(known.select("term", "idf").distinct()), "term", "left").withColumn(
+        "w", F.col("tf") * F.coalesce("idf", F.lit(math.log(1 + len(texts)) + 1)))
+    lengths = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("w_norm"))
+    dots = weighed.filter("idf is not null").join(F.broadcast(known.select("licence", "term", "t")), "term").groupBy(
+        "key", "licence").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
+    best = dots.join(lengths, "key").groupBy("key").agg(
+        F.max(F.struct(F.lit(1).alias("level"), F.round(F.col("dot") / F.col("w_norm"), 6).alias("cosine"), "licence")).alias("best"))
+    return units.select("key", "id", "path").join(best.filter(F.col("best.cosine") >= full), "key").select("id", "path", F.lit(True).alias("is_file"), "best")
+
+
+def _named_licences(source: DataFrame, names: list[str]) -> DataFrame:
+    """(id, path, is_file, best) of the licences that SPDX lines, or titles in licence files, name."""
+    forms = source.sparkSession.createDataFrame([*TITLES.items(), *((n.lower(), n) for n in names)], "name string, licence string")
+    lines = source.filter(F.col("named") | F.col("text").rlike(SPDX)).select("id", "path", "named", F.explode(F.split("text", "\n")).alias("line"))
+    ids = F.transform(F.regexp_extract_all(F.lower(F.regexp_extract("line", SPDX, 1)), F.lit("[a-z0-9.+-]+"), F.lit(0)),
+                      lambda x: F.regexp_replace(x, r"(-only|-or-later|\+)$", ""))
+    title = F.when(F.col("named"), F.array(F.array_join(_terms(F.col("line")), " "))).otherwise(F.array().cast("array<string>"))
+    said = lines.select("id", "path", F.col("named").alias("is_file"), F.explode(F.concat(ids, title)).alias("name"))
+    return said.join(F.broadcast(forms), "name").select(
+        "id", "path", "is_file", F.struct(F.lit(0).alias("level"), F.lit(1.0).alias("cosine"), "licence").alias("best"))
+
+
+def scanned(files: DataFrame, templates: dict[str, str] | None = None, header: float = HEADER, whole: float = WHOLE,
+            texts: dict[str, str] | None = None, full: float = FULL) -> DataFrame:
     """(id, path, licence, cosine, via) of every file; ``files`` has id, path and text. ``via`` is own, inherited or null."""
     spark = files.sparkSession
     notices = spark.createDataFrame(list((templates or TEMPLATES).items()), "licence string, notice string")
@@ -83,8 +147,12 @@ def scanned(files: DataFrame, templates: dict[str, str] | None = None, header: f
     cosine = dots.join(lengths, ["key", "is_file"]).join(F.broadcast(norms), "licence").select(
         "key", "is_file", "licence", F.round(F.col("dot") / (F.col("w_norm") * F.col("t_norm")), 6).alias("cosine"))
     best = cosine.groupBy("key", "is_file").agg(F.max(F.struct("cosine", "licence")).alias("best"))
-    judged = kept(unit_rows.select("key", "id", "path", "is_file").join(best, ["key", "is_file"]).filter(
-        F.col("best.cosine") >= F.when(F.col("is_file") & ~F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False)), whole).otherwise(header)), "license-units")
+    by_name = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
+    noticed = unit_rows.select("key", "id", "path", "is_file").join(best, ["key", "is_file"]).filter(
+        F.col("best.cosine") >= F.when(F.col("is_file") & ~by_name, whole).otherwise(header)).select(
+        "id", "path", (F.col("is_file") | by_name).alias("is_file"), F.struct(F.lit(0).alias("level"), "best.cosine", "best.licence").alias("best"))
+    texts = full_texts() if texts is None else texts
+    judged = kept(union_all([noticed, _full_matches(source, texts, full), _named_licences(source, sorted({*(templates or TEMPLATES), *texts}))]), "license-units")
 
     own = judged.groupBy("id", "path").agg(F.max("best").alias("own"))
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)

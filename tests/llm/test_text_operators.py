@@ -290,3 +290,39 @@ def test_license_scan(spark, none) -> None:
     assert got == {(1, "MIT", "inherited"), (2, "MIT", "own"), (3, "Apache-2.0", "own"), (4, "GPL-3.0", "own"), (5, "GPL-3.0", "inherited"),
                    (6, None, None), (7, None, None), (8, None, None), (9, None, None)}
     assert licenses.scanned(licenses.document_files(none)).count() == 0
+
+
+MIT_TEXT = """The MIT License (MIT)
+
+Copyright (c) 2021, 2024 Some Long Company Name and its many contributors
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+
+
+def test_license_scan_knows_full_texts_and_spdx(spark) -> None:
+    body = MIT_TEXT.split("\n", 4)[4]
+    gpl = licenses.full_texts()["GPL-3.0"]
+    rows = [
+        (1, "m/LICENSE", MIT_TEXT), (2, "m/src/a.c", "int x;"), (3, "g/COPYING", "Copyright 2020 A Person\n" + gpl), (4, "g/a/b.c", None),
+        (5, "docs/terms.txt", body), (6, "docs/other.txt", "x"), (7, "s/a.c", "// SPDX-License-Identifier: GPL-2.0-or-later\nint y;"), (8, "s/b.c", "int z;"),
+        (9, "t/LICENSE.md", "MIT License"), (10, "t/c.c", ""), (11, "c/LICENSE", "Attribution-NonCommercial 4.0 International\n\nterms follow"), (12, "c/d", "d"),
+        (13, "n/LICENSE", "Terms of use of this product: it may be looked at, and nothing else, without our permission."), (14, "n/e", "e"),
+        (15, "o/f.c", "SPDX-License-Identifier: LicenseRef-own"), (16, "p/g.txt", MIT_TEXT + prose(600)),
+    ]
+    frame = spark.createDataFrame(rows, "id long, path string, text string")
+    got = {(r.id, r.licence, r.via) for r in licenses.scanned(frame).collect()}
+    assert got == {(1, "MIT", "own"), (2, "MIT", "inherited"), (3, "GPL-3.0", "own"), (4, "GPL-3.0", "inherited"), (5, "MIT", "own"), (6, "MIT", "inherited"),
+                   (7, "GPL-2.0", "own"), (8, None, None), (9, "MIT", "own"), (10, "MIT", "inherited"), (11, "CC-BY-NC-4.0", "own"), (12, "CC-BY-NC-4.0", "inherited"),
+                   (13, None, None), (14, None, None), (15, None, None), (16, None, None)}

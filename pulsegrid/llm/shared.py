@@ -76,9 +76,9 @@ def _maybe(rows: DataFrame, key: str, wanted: DataFrame, bits: int) -> DataFrame
     """``rows`` as one column ``row`` with the key and ``maybe``: false if the key is surely not among ``wanted``.
 
     The wanted keys are folded into a bitmap of fixed size (65,536 words by default), which is broadcast; its size
-    does not depend on the data.
+    does not depend on the data. Keys are hashed as long on both sides, since an int and an equal long hash differently.
     """
-    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    slot = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(bits))
     bitmap = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("marks"))
     marked = rows.select(F.struct("*").alias("row"), F.col(key).alias("key"), slot.alias("slot")).withColumn("word", F.shiftright("slot", 6))

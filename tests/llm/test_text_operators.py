@@ -326,3 +326,14 @@ def test_license_scan_knows_full_texts_and_spdx(spark) -> None:
     assert got == {(1, "MIT", "own"), (2, "MIT", "inherited"), (3, "GPL-3.0", "own"), (4, "GPL-3.0", "inherited"), (5, "MIT", "own"), (6, "MIT", "inherited"),
                    (7, "GPL-2.0", "own"), (8, None, None), (9, "MIT", "own"), (10, "MIT", "inherited"), (11, "CC-BY-NC-4.0", "own"), (12, "CC-BY-NC-4.0", "inherited"),
                    (13, None, None), (14, None, None), (15, None, None), (16, None, None)}
+
+
+def test_int_ids_find_equal_long_ids(spark) -> None:
+    from pulsegrid.llm.shared import near_members, without_keys
+    rows = spark.createDataFrame([(i, "x") for i in range(200)] + [(None, "y")], "doc_id int, text string")
+    gone = spark.range(0, 200, 2).select(F.col("id").alias("doc_id"))
+    assert sorted(str(r.doc_id) for r in without_keys(rows, "doc_id", gone).collect()) == sorted(["None", *map(str, range(1, 200, 2))])
+    assert {r.doc_id for r in near_members(rows, "doc_id", gone).collect()} >= set(range(0, 200, 2))
+    passage = prose(70)
+    texts = spark.createDataFrame([(1, passage), (2, "one two " + passage)], "doc_id int, text string")
+    assert {r.doc_id: r.text for r in substrings.shortened(texts).collect()} == {1: passage, 2: "one two"}

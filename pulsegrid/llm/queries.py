@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, jaccard, licenses, near_vectors, packing, quality, sharding, substrings, toxicity
+from pulsegrid.llm import (
+    bpe, byte_bpe, chat, hard_negatives, jaccard, lexical, licenses, near_vectors, packing, quality, sharding, substrings, toxicity,
+)
 
 
 def tokenizer_path(name: str) -> str:
@@ -69,6 +71,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    pattern = public_tokenizers.PATTERN
+    rows = byte_bpe.decoded(byte_bpe.encoded(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
@@ -80,8 +99,13 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scans": op9_license_scans,
     "op10_bpe": op10_bpe,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 SQL: dict[str, str] = {
     "op8_quality_rules": quality.sql(),
     "op9_license_scans": licenses.sql(),
+    "op11_ranked_search": lexical.sql(),
+    "op12_hard_negatives": hard_negatives.sql(),
 }

@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid.llm.shared import _maybe, kept, near_members, ship
 from pulsegrid.llm.words import Words, mix, pieces, powers, signed, unsigned, windows, words_of
@@ -114,30 +115,47 @@ def _looked_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array((cut.at[at] - words.first[cut.text[at]]).astype(np.int32))], names=["window", "doc_id", "row_key", "begin"])
 
 
+def _stays(count: int, spans: pa.Scalar) -> np.ndarray:
+    """Which of ``count`` words no window covers that starts in one of the spans."""
+    edge = np.zeros(count + 1, np.int64)
+    if spans.is_valid and len(spans):
+        np.add.at(edge, np.asarray(spans.values.field("begin")), 1)
+        np.add.at(edge, np.asarray(spans.values.field("end")) - 1 + WIDTH, -1)
+    return np.cumsum(edge[:-1]) == 0
+
+
 def _without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words that windows starting in the given spans cover; words joined by one space."""
     for piece in pieces(batches):
         texts, removed, total = [], [], []
         for text, spans in zip(piece.column("text"), piece.column("spans"), strict=True):
             words = text.as_buffer().to_pybytes().split() if text.is_valid else []
-            gone = 0
-            if spans.is_valid and len(spans):
-                edge = np.zeros(len(words) + 1, np.int64)
-                np.add.at(edge, np.asarray(spans.values.field("begin")), 1)
-                np.add.at(edge, np.asarray(spans.values.field("end")) - 1 + WIDTH, -1)
-                stay = np.cumsum(edge[:-1]) == 0
-                total.append(len(words))
-                gone = len(words) - int(stay.sum())
-                words = list(compress(words, stay.tolist()))
-            else:
-                total.append(len(words))
-            texts.append(b" ".join(words))
-            removed.append(gone)
+            stay = _stays(len(words), spans)
+            total.append(len(words)), removed.append(len(words) - int(stay.sum()))
+            texts.append(b" ".join(compress(words, stay.tolist()) if removed[-1] else words))
         yield pa.RecordBatch.from_arrays([
             piece.column("row"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
             names=["row", "n_words", "n_removed", "kept_text"])
 
 
+def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, cut_text): the bytes of removed words go with the white space behind them, or before them at the text's end."""
+    for piece in pieces(batches):
+        texts = []
+        for text, spans in zip(piece.column("text"), piece.column("spans"), strict=True):
+            words = words_of(pa.array([text.as_py()], pa.string()))
+            gone = np.concatenate(([False], ~_stays(len(words.starts), spans), [False]))
+            first, end = np.flatnonzero(gone[1:] & ~gone[:-1]), np.flatnonzero(gone[:-1] & ~gone[1:])
+            starts, ends = np.append(words.starts, -1), np.concatenate(([0], words.ends))
+            data, parts, at = words.data.tobytes(), [], 0
+            for a, b in zip(first.tolist(), end.tolist(), strict=True):
+                last = b == len(words.starts)
+                parts.append(data[at:ends[a] if last else starts[a]])
+                at = ends[b] if last else starts[b]
+            texts.append(b"".join([*parts, data[at:]]) if text.is_valid else None)
+        yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(texts, pa.binary()).cast(pa.string())], names=["row", "cut_text"])
+
+
 def _row_key() -> Column:
     return F.xxhash64("text").alias("row_key")
 
@@ -163,8 +181,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return parsed.filter("factor").select("doc_id", "row_key", "begin", "end").unionByName(single).distinct()
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """(row, n_words, n_removed, kept_text): every input row as a struct, with its words that stay, joined by one space."""
+def _with_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(row, text, spans) of rows that may have spans, and (row, text) of those that surely have none."""
     ship(docs.sparkSession)
     spans = kept(repeated_spans(docs).groupBy("doc_id", "row_key").agg(
         F.collect_list(F.struct("begin", "end")).alias("spans")), "repeats-spans")
@@ -172,14 +190,31 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     marked = _maybe(docs, "doc_id", spans.select("doc_id"), 1 << 22).select(
         "row", F.col("key").cast("long").alias("doc_id"), F.xxhash64("row.text").alias("row_key"), "maybe")
     hit = marked.filter("maybe").join(spans, ["doc_id", "row_key"], "left").select("row", F.col("row.text").alias("text"), "spans")
-    rest = marked.filter(~F.col("maybe")).select("row", F.col("row.text").alias("text"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    schema = f"row {docs.select(F.struct('*').alias('row')).schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept_text string"
-    both = rest.unionByName(hit)
-    return both.mapInArrow(_without, schema)
+    return hit, marked.filter(~F.col("maybe")).select("row", F.col("row.text").alias("text"))
+
+
+def _row_type(docs: DataFrame) -> T.StructField:
+    return T.StructField("row", docs.schema)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """(row, n_words, n_removed, kept_text): every input row as a struct, with its words that stay, joined by one space."""
+    hit, rest = _with_spans(docs)
+    both = rest.withColumn("spans", F.lit(None).cast(hit.schema["spans"].dataType)).unionByName(hit)
+    return both.mapInArrow(_without, T.StructType([
+        _row_type(docs), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]))
 
 
 def shortened(docs: DataFrame) -> DataFrame:
-    """The documents with repeated passages taken out of their texts and n_chars following; the columns stay."""
-    rows = without_repeats(docs)
-    changed = {"text": F.when(F.col("row.text").isNotNull(), F.col("kept_text")), "n_chars": F.when(F.col("row.text").isNotNull(), F.length("kept_text")).cast("long")}
-    return rows.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    """The documents with repeated passages cut out of their texts and n_chars following; the columns stay.
+
+    A text that loses nothing stays as it is, and what stays of another one keeps its white space.
+    """
+    hit, rest = _with_spans(docs)
+    hit = hit.filter("spans is not null").mapInArrow(_cut_out, T.StructType([_row_type(docs), T.StructField("cut_text", T.StringType())])).unionByName(
+        hit.filter("spans is null").select("row", F.col("text").alias("cut_text")))
+    rows = hit.unionByName(rest.select("row", F.col("text").alias("cut_text")))
+    changed = {"text": F.col("cut_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("row.text") == F.col("cut_text"), F.col("row.n_chars")).otherwise(F.length("cut_text")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -127,6 +127,19 @@ def test_substring_dedup(docs, texts, none) -> None:
     assert substrings.without_repeats(none).count() == 0
 
 
+def test_shortened_texts_keep_their_white_space_and_odd_columns(spark) -> None:
+    passage = prose(70)
+    rows = [(1, "a\n\nb  c"), (2, passage), (3, f" one\n\ntwo  {passage}\n\nthree\tfour\n"), (4, f"{passage}  end\n"), (5, f"x\n{passage} \n"), (6, None), (None, "n\nm")]
+    odd = {"my col": 1, "a.b": "2", "x`y": 3.0, "row": 4, "spans": 5, "maybe": True}
+    frame = spark.createDataFrame(rows, "doc_id int, text string").select("*", *[F.lit(v).alias(k) for k, v in odd.items()])
+    got = substrings.shortened(frame)
+    assert got.columns == frame.columns
+    assert {(r.doc_id, r.text) for r in got.collect()} == {
+        (1, "a\n\nb  c"), (2, passage), (3, " one\n\ntwo  three\tfour\n"), (4, "end\n"), (5, "x \n"), (6, None), (None, "n\nm")}
+    assert {tuple(r)[2:] for r in got.collect()} == {tuple(odd.values())}
+    assert {(r.row["my col"], r.row["x`y"]) for r in substrings.without_repeats(frame).collect()} == {(1, 3.0)}
+
+
 def test_quality_counts_match_a_plain_count(docs, texts, spark) -> None:
     def plain(text):
         w = WORDS.findall(text or "")
@@ -234,6 +247,18 @@ def test_packing_encodes_marks_behind_letters_as_the_tokenizer_does() -> None:
     assert not [w for w, x in want.items() if ids[w.encode()] != struct.pack(f"<{len(x)}I", *x)]
 
 
+def test_packing_of_many_distinct_words_follows_the_tokenizer(spark) -> None:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha()]
+    pick = random.Random(3)
+    words = ["".join(pick.choices(letters if n % 3 else "abcdeéÀßÿ\u00d7", k=pick.randrange(1, 9))) + pick.choice(["", ",", ".", ",.", "!", "\x00", "9"]) for n in range(4000)]
+    texts = [(i, " ".join(words[40 * i:40 * i + 40])) for i in range(100)] + [(200, "<|endoftext|>"), (201, "A <|startoftext|>B, Ç."), (202, ",")]
+    got = packing.packed_pieces(spark.createDataFrame(texts, "doc_id long, text string"), path, 1 << 20).collect()
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in texts}
+    assert {r.doc_id: list(struct.unpack(f"<{r.length}I", r.ids)) for r in got} == want
+
+
 def test_bpe_round_trip(docs, texts, none) -> None:
     path = tokenizer_path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
@@ -270,6 +295,32 @@ def test_sharding(docs, texts, none) -> None:
     assert sharding.shards_of(none).count() == 0
 
 
+def test_shards_of_a_table_are_near_equal(spark) -> None:
+    rows = [(i, f"{i} " + "x" * random.randrange(1, 400)) for i in range(1500)] + [(2000 + i, "y" * 90) for i in range(100)]
+    got = sharding.shards_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 16)
+    sizes = [r["sum(size)"] for r in got.groupBy("shard").sum("size").collect()]
+    assert len(sizes) == 16 and max(sizes) - min(sizes) <= 16
+
+
+def test_classes_are_packed_as_single_groups_are() -> None:
+    pick = random.Random(8)
+    for _ in range(60):
+        sizes = [pick.randrange(1, 12) for _ in range(pick.randrange(1, 60))]
+        capacity, left, where = pick.randrange(6, 40), [], []
+        for size in sorted(sizes, reverse=True):
+            fit = [(room, n) for n, room in enumerate(left) if room >= size]
+            if fit:
+                n = min(fit)[1]
+            else:
+                n = len(left)
+                left.append(max(capacity, size))
+            left[n] -= size
+            where.append((size, n))
+        found, opened = sharding.runs({s: sizes.count(s) for s in sizes}, capacity)
+        assert opened == len(left)
+        assert sorted((s, n) for s, a, b, n in found for _ in range(b - a)) == sorted(where)
+
+
 def test_best_fit_decreasing() -> None:
     sizes = [(s, n) for n, s in enumerate([7, 5, 4, 3, 2, 2, 1])]
     where = sharding.packed(sizes, 8)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,8 @@ class WindowSpec:
     ``slide`` none or zero makes tumbling windows. ``time="processing"`` uses the arrival time of an event.
     ``distinct="exact"`` counts vehicles exactly; on a stream it needs final emission (append mode).
     ``fill_missing`` replaces the null a window without any value has as mean and maximum.
-    ``pre_aggregate`` lets static sliding windows be built from slide-sized panes.
+    ``pre_aggregate`` lets sliding windows be built from slide-sized panes; on a stream that takes ``final`` emission
+    (append mode), where a pane is handed on when it is closed. ``rsd`` is the deviation of approximate counts.
     """
 
     size: str
@@ -35,6 +37,7 @@ class WindowSpec:
     fill_missing: float | None = None
     epoch_offset_ms: int = 0
     pre_aggregate: bool = True
+    final: bool = False
 
     def __post_init__(self):
         if self.time not in ("event", "processing"):
@@ -63,7 +66,12 @@ class WindowSpec:
     def uses_panes(self, streaming: bool) -> bool:
         """Whether events are first reduced per slide-sized pane instead of going to all their windows."""
         divisible = self.size_micros % self.slide_micros == 0
-        return self.pre_aggregate and not streaming and divisible and self.slide_micros < self.size_micros
+        return self.pre_aggregate and (self.final or not streaming) and divisible and self.slide_micros < self.size_micros
+
+    @property
+    def sketch_bits(self) -> int:
+        """Binary logarithm of the entries of a count sketch, whose deviation is at most 0.84 by the root of that number."""
+        return min(21, max(4, math.ceil(2 * math.log2(0.84 / self.rsd))))
 
 
 def measures(pollutants: str | list[str]) -> list[str]:
@@ -117,10 +125,9 @@ def _interval(micros: int) -> str:
 
 
 def _panes_to_windows(panes: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Give every pane to the windows that cover it: those its start lies in, as the slide divides the size."""
-    start = F.col("window.start")
-    covering = F.window(start, _interval(spec.size_micros), _interval(spec.slide_micros)).alias("window")
-    return panes.select(covering, *[c for c in panes.columns if c != "window"])
+    """Give every pane to the windows that cover it: those its last instant lies in, as the slide divides the size."""
+    covering = F.window(F.window_time("window"), _interval(spec.size_micros), _interval(spec.slide_micros))
+    return panes.withColumn("_covering", covering).drop("window").withColumnRenamed("_covering", "window")
 
 
 def _filled(value: Column, spec: WindowSpec) -> Column:
@@ -158,11 +165,25 @@ def traffic_windows(events: DataFrame, spec: WindowSpec) -> DataFrame:
     placed = with_cells_and_time(events, spec, ["vehicle_id", "vehicle_type", "speed"])
     if spec.distinct == "exact":
         return _traffic_exact(placed, spec)
-    return placed.groupBy(_windows(spec).alias("window"), *CELL).agg(
-        F.count("*").alias("total_records"),
-        F.approx_count_distinct("vehicle_id", spec.rsd).alias("unique_vehicles"),
-        _filled(F.round(F.avg("speed"), 2), spec).alias("avg_speed_ms"),
-        F.approx_count_distinct("vehicle_type", spec.rsd).alias("vehicle_type_count"),
+    return _traffic_by_sketches(placed, spec)
+
+
+def _traffic_by_sketches(placed: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Distinct vehicles and types from sketches of fixed size, which panes hand on and windows unite."""
+    panes = spec.uses_panes(placed.isStreaming)
+    counted = ["vehicle_id", "vehicle_type"]
+    partial = placed.groupBy((_pane(spec) if panes else _windows(spec)).alias("window"), *CELL).agg(
+        F.count("*").alias("_rows"), F.sum("speed").alias("_speed"), F.count("speed").alias("_speeds"),
+        *[F.hll_sketch_agg(c, F.lit(spec.sketch_bits)).alias(f"_{c}s") for c in counted])
+    if panes:
+        partial = _panes_to_windows(partial, spec).groupBy("window", *CELL).agg(
+            *[F.sum(c).alias(c) for c in ("_rows", "_speed", "_speeds")],
+            *[F.hll_union_agg(f"_{c}s").alias(f"_{c}s") for c in counted])
+    return partial.select(
+        "window", *CELL, F.col("_rows").alias("total_records"),
+        F.hll_sketch_estimate("_vehicle_ids").alias("unique_vehicles"),
+        _filled(F.round(F.try_divide("_speed", "_speeds"), 2), spec).alias("avg_speed_ms"),
+        F.hll_sketch_estimate("_vehicle_types").alias("vehicle_type_count"),
     )
 
 
@@ -173,18 +194,15 @@ def _traffic_exact(placed: DataFrame, spec: WindowSpec) -> DataFrame:
     partitions, and no set of ids is ever built. Missing and blank ids count as records but not as vehicles.
     """
     panes = spec.uses_panes(placed.isStreaming)
-    time_key = _pane(spec) if panes else _windows(spec)
     per_vehicle = placed.groupBy(
-        time_key.alias("window"), *CELL, F.nullif("vehicle_id", F.lit("")).alias("vehicle_id")
+        (_pane(spec) if panes else _windows(spec)).alias("window"), *CELL, F.nullif("vehicle_id", F.lit("")).alias("vehicle_id")
     ).agg(F.count("*").alias("_rows"), F.sum("speed").alias("_speed"), F.count("speed").alias("_speeds"))
     if panes:
-        per_vehicle = _panes_to_windows(per_vehicle, spec)
-        vehicles = F.count_distinct("vehicle_id")
-    else:
-        vehicles = F.count("vehicle_id")
+        per_vehicle = _panes_to_windows(per_vehicle, spec).groupBy("window", *CELL, "vehicle_id").agg(
+            *[F.sum(c).alias(c) for c in ("_rows", "_speed", "_speeds")])
     return per_vehicle.groupBy("window", *CELL).agg(
         F.sum("_rows").alias("total_records"),
-        vehicles.alias("unique_vehicles"),
+        F.count("vehicle_id").alias("unique_vehicles"),
         _filled(F.round(F.try_divide(F.sum("_speed"), F.sum("_speeds")), 2), spec).alias("avg_speed_ms"),
     )
 

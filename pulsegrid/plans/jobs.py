@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,12 +20,22 @@ from pulsegrid.schemas import TIME_COLUMN
 from pulsegrid.sources.tables import read_metrics, read_table, write_metrics, write_table
 from pulsegrid.sources.vitals import read_vitals
 from pulsegrid.streaming.landing import land_closed_windows, land_updates
+from pulsegrid.streaming.publishing import Sink, publish
+
+#: Messages of one cell carry one key.
+CELL_KEY = ["lat", "lon"]
 
 
-def run_windows(events: DataFrame, measure: str, spec: WindowSpec, path: str, checkpoint: str,
+def run_windows(events: DataFrame, measure: str, spec: WindowSpec, path: str | None, checkpoint: str,
                 emit: str = "update", trigger: dict | None = None, pollutants: str | list[str] = "all",
-                bounds: str = "string", engine: str | None = None) -> StreamingQuery:
-    """Start a windowed stream: "pollution" or "traffic", landing every change or closed windows only."""
+                bounds: str = "string", engine: str | None = None, sink: Sink | None = None) -> StreamingQuery:
+    """Start a windowed stream: "pollution" or "traffic", every change or closed windows only.
+
+    Results are landed below ``path``, or published as messages keyed by cell to ``sink``.
+    """
+    if emit not in ("update", "final"):
+        raise ValueError(f"emit is update or final, not {emit!r}")
+    spec = replace(spec, final=emit == "final")
     if measure == "pollution":
         results = pollution_results(events, spec, pollutants, bounds, engine)
     elif measure == "traffic":
@@ -32,11 +44,12 @@ def run_windows(events: DataFrame, measure: str, spec: WindowSpec, path: str, ch
         results = traffic_results(events, spec, bounds, engine)
     else:
         raise ValueError(f"measure is pollution or traffic, not {measure!r}")
-    if emit == "update":
-        return land_updates(results, path, checkpoint, trigger)
-    if emit == "final":
-        return land_closed_windows(results, path, checkpoint, trigger)
-    raise ValueError(f"emit is update or final, not {emit!r}")
+    if sink:
+        return publish(results, sink, checkpoint, CELL_KEY, "update" if emit == "update" else "append", trigger)
+    if path is None:
+        raise ValueError("results need a path or a sink")
+    land = land_updates if emit == "update" else land_closed_windows
+    return land(results, path, checkpoint, trigger)
 
 
 def prepare_recordings(spark: SparkSession, source: str, target: str) -> DataFrame:

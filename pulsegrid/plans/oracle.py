@@ -132,11 +132,12 @@ def pollution(kind: str, size: str, pollutants: list[str], vehicle: str = "all",
   from windowed group by ws, we, round(lat, 3), round(lon, 3))"""
 
 
-def traffic(kind: str, size: str) -> str:
+def traffic(kind: str, size: str, types: bool = False) -> str:
     return f"""traffic as (select strftime(ws, '%Y-%m-%d %H:%M:%S') as window_start,
     strftime(we, '%Y-%m-%d %H:%M:%S') as window_end, round(lat, 3) as lat, round(lon, 3) as lon,
     count(*) as total_records, count(distinct nullif(vehicle_id, '')) as unique_vehicles,
     round(avg(speed), 2) as avg_speed_ms, '{kind}' as window_type, '{size}' as window_duration, 'all' as vehicle_filter
+    {", count(distinct vehicle_type) as vehicle_types" if types else ""}
   from windowed group by ws, we, round(lat, 3), round(lon, 3))"""
 
 
@@ -303,6 +304,11 @@ select file_name, size from walk where taken"""
   select model, point::int as point, round(lo + point * ((hi - lo) / 199), 6) as x,
     round(mass / (h * sqrt(2 * pi())) * ((hi - lo) / 60), 4) as height from mass"""
 
+    approx = """select window_start, window_end, lat, lon, total_records, avg_speed_ms, unique_vehicles, true as close,
+      vehicle_types, true as types_close from traffic"""
+    layer = (f"with {EMISSIONS}, {SLIDING}, {pollution('sliding', '10 minutes', POLLUTANTS)}, "
+             f"{LATEST.format('pollution')} " + pollution_layer("CO2", POLLUTANTS, 0, 5000, "mg/s"))
+
     sql = {
         "filter_sort_top20": f"with {VITALS} select case_name, Time, HR from vitals where HR > 100 "
                              "order by RelativeTimeMilliseconds, case_name, Time, HR limit 20",
@@ -400,8 +406,8 @@ select file_name, size from walk where taken"""
         "latest_traffic_per_cell": f"{daily_traffic}, {LATEST.format('traffic')} select * from latest",
         "first_window_metadata": f"{sliding_co2} select window_type, window_duration from pollution "
                                  "order by window_start, window_end limit 1",
-        "pollution_map_layer": f"with {EMISSIONS}, {SLIDING}, {pollution('sliding', '10 minutes', POLLUTANTS)}, "
-                               f"{LATEST.format('pollution')} " + pollution_layer("CO2", POLLUTANTS, 0, 5000, "mg/s"),
+        "pollution_map_layer": layer,
+        "stream_map_layer": layer,
         "pollution_map_layer_noise": f"with {EMISSIONS}, {DAILY}, {pollution('tumbling', '1 day', ['noise', 'CO'])}, "
                                      f"{LATEST.format('pollution')} "
                                      + pollution_layer("noise", ["noise", "CO"], 40, 90, "dB", whole=True),
@@ -430,8 +436,11 @@ select file_name, size from walk where taken"""
         **{name: f"""with {TIMED}, held as (select * from timed where {SPLIT.format('row_key')} = 'test'), {segments('held')}
           select segment, count(*) as n_rows, true as in_range from segmented group by segment"""
            for name in ("rf_cls", "gbt_cls", "rf_reg", "gbt_reg")},
-        **{name: f"{daily_traffic} select window_start, window_end, lat, lon, unique_vehicles, true as close from traffic"
+        **{name: f"with {EMISSIONS}, {DAILY}, {traffic('tumbling', '1 day', types=True)} {approx}"
            for name in ("traffic_approx", "stream_traffic_approx")},
+        "traffic_approx_sliding": f"with {EMISSIONS}, {SLIDING}, {traffic('sliding', '10 minutes', types=True)} {approx}",
+        "stream_json_to_json": f"with {EMISSIONS}, {DAILY}, {pollution('tumbling', '1 day', POLLUTANTS)} select * from pollution",
+        "stream_compacted": f"{ten_co2} select * from pollution",
         "small_share_split": f"with {LABELLED} select {SMALL_SHARES.format('row_key')} as split, count(*) as rows from labelled group by 1",
         "capped_sample": f"with {LABELLED} select row_key, HR, SpO2 from labelled "
                          "order by md5('42|' || row_key), row_key limit 5000",

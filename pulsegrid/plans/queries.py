@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +28,11 @@ from pulsegrid.sources import emissions as events_io
 from pulsegrid.sources import files as files_io
 from pulsegrid.sources import tables, topics
 from pulsegrid.sources.vitals import header_schema, profile, read_vitals
+from pulsegrid.streaming import layers, revisions
 from pulsegrid.streaming.landing import (
     ONCE, last_revision, land_updates, read_landed, read_revisions,
 )
+from pulsegrid.streaming.publishing import FolderSink, publish_batch, published_once, read_folder, with_batch
 
 SLIDING = WindowSpec("10 minutes", "2 minutes")
 DAILY = WindowSpec("1 day")
@@ -253,12 +257,24 @@ def traffic_approx(spark, sf_dir):
     return _beside_exact(spark, sf_dir, traffic_results(emissions(spark, sf_dir), DAILY))
 
 
-def _beside_exact(spark, sf_dir, approximate: DataFrame) -> DataFrame:
-    """Exact counts, and whether the approximate one is within three of its standard deviations (5 %) and one."""
-    exact = traffic_results(emissions(spark, sf_dir), WindowSpec("1 day", distinct="exact")).select(*CELL_WINDOW, "unique_vehicles")
-    off = F.abs(F.col("approximate") - F.col("unique_vehicles"))
-    rows = approximate.select(*CELL_WINDOW, F.col("unique_vehicles").alias("approximate")).join(exact, CELL_WINDOW, "full")
-    return rows.select(*CELL_WINDOW, "unique_vehicles", F.coalesce(off <= 0.15 * F.col("unique_vehicles") + 1, F.lit(False)).alias("close"))
+def _beside_exact(spark, sf_dir, approximate: DataFrame, spec: WindowSpec = DAILY) -> DataFrame:
+    """Exact counts of vehicles and types, and whether the approximate ones are within three standard deviations (5 %) and one."""
+    events = emissions(spark, sf_dir)
+    kinds = events.select(F.struct("lat", "lon", "event_time").alias("e"), F.col("vehicle_type").alias("vehicle_id"), "speed", "vehicle_type").select(
+        "e.*", "vehicle_id", "speed", "vehicle_type")
+    exact = traffic_results(events, replace(spec, distinct="exact")).select(*CELL_WINDOW, "unique_vehicles").join(
+        traffic_results(kinds, replace(spec, distinct="exact")).select(*CELL_WINDOW, F.col("unique_vehicles").alias("vehicle_types")), CELL_WINDOW)
+    close = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) <= 0.15 * F.col(b) + 1, F.lit(False))
+    rows = approximate.withColumnRenamed("unique_vehicles", "approximate").join(exact, CELL_WINDOW, "full")
+    return rows.select(
+        *CELL_WINDOW, "total_records", "avg_speed_ms", "unique_vehicles", close("approximate", "unique_vehicles").alias("close"),
+        "vehicle_types", close("vehicle_type_count", "vehicle_types").alias("types_close"))
+
+
+@query
+def traffic_approx_sliding(spark, sf_dir):
+    """Sketches of panes united to sliding windows, beside exact counts."""
+    return _beside_exact(spark, sf_dir, traffic_results(emissions(spark, sf_dir), SLIDING), SLIDING)
 
 
 @query
@@ -390,6 +406,57 @@ def stream_pollution_final(spark, sf_dir):
     return read_landed(spark, f"{path}/table", pollution_results(emissions(spark, sf_dir), SLIDING, "CO2").schema)
 
 
+@query
+def stream_json_to_json(spark, sf_dir):
+    """Event messages from one folder become keyed result messages in another, in two runs of one job.
+
+    The last batch of the first run is published again, as after a failure, and counts once.
+    """
+    path = shared_dir(spark, "json-to-json")
+    sink, messages = FolderSink(f"{path}/results"), _event_messages(spark, sf_dir)
+    schema = pollution_results(emissions(spark, sf_dir), DAILY, "all").schema
+    for parity in (0, 1):
+        topics.write_message_files(messages.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == parity), f"{path}/messages")
+        decoded = events_io.accepted(events_io.decode_json(topics.read_message_files(spark, f"{path}/messages")))
+        patient = replace(DAILY, watermark="60 days")
+        _finish(jobs.run_windows(decoded, "pollution", patient, None, f"{path}/progress", trigger=ONCE, sink=sink))
+        publish_batch(emissions(spark, sf_dir), parity, sink, ["lat", "lon"], f"{path}/progress/published")
+    sent = published_once(read_folder(spark, f"{path}/results"))
+    return last_revision(sent.select(F.from_json("value", schema).alias("r"), "batch_id").select("r.*", "batch_id"), CELL_WINDOW)
+
+
+@query
+def stream_compacted(spark, sf_dir):
+    """Events in four portions; revisions are landed by date and compacted after the second and third portion."""
+    path = shared_dir(spark, "compacted")
+    events = table(spark, sf_dir, "events")
+    schema = pollution_results(emissions(spark, sf_dir), TEN_MINUTES, "CO2").schema
+    day = F.dayofmonth("ts")
+    for number, part in enumerate((day < 10, (day >= 10) & (day < 17), (day >= 17) & (day < 24), day >= 24)):
+        events.filter(part).write.mode("append").parquet(f"{path}/events")
+        stream = as_emissions(topics.read_event_table(spark, f"{path}/events", events.schema))
+        _finish(revisions.land_revisions(pollution_results(stream, TEN_MINUTES, "CO2"), f"{path}/table", f"{path}/progress", ONCE))
+        if number in (1, 2):
+            revisions.compact(spark, f"{path}/table", schema)
+            revisions.forget_moved(spark, f"{path}/table", schema)
+    return revisions.read_current(spark, f"{path}/table", schema)
+
+
+@query
+def stream_map_layer(spark, sf_dir):
+    """Published results, read as a stream in several batches, keep a map layer up to date."""
+    path = shared_dir(spark, "map-layer")
+    results = pollution_results(emissions(spark, sf_dir), SLIDING, "all")
+    for part in range(3):
+        some = results.filter(F.pmod(F.xxhash64("window_start"), F.lit(3)) == part)
+        publish_batch(some, part, FolderSink(f"{path}/results"), ["lat", "lon"], f"{path}/published")
+    arriving = with_batch(read_folder(spark, f"{path}/results", stream=True, max_files_per_trigger=4))
+    style = partial(maps.pollution_layer, pollutant="CO2")
+    _finish(layers.land_layer(events_io.read_results(arriving, results.schema), f"{path}/layer", f"{path}/progress", style, trigger=ONCE))
+    layers.forget_old(spark, f"{path}/layer", style(results).schema)
+    return layers.read_layer(spark, f"{path}/layer", style(results).schema)
+
+
 @query
 def stream_traffic(spark, sf_dir):
     """Exact vehicle counts of closed windows."""

@@ -74,15 +74,16 @@ def _spread_to_segments(df: DataFrame, names: list[str]) -> DataFrame:
 def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model",),
                            conditions: dict[str, Column] | None = None, label: str = CLASS_LABEL,
                            prediction: str = "prediction", score: str = "probability", digits: int | None = 4,
-                           fan_out: int = 16) -> DataFrame:
+                           ranges: int | None = None) -> DataFrame:
     """Area under the ROC curve, accuracy and weighted F1, precision and recall per group of binary predictions.
 
     ``conditions`` adds a segment to the grouping; a row counts in every segment whose condition it meets. Rows
     collapse to counts per score and segment membership before they are given to the segments, so the segments cost
     no extra pass and the scan emits no row twice.
 
-    The area is the exact rank sum over the scores: they are cut into ``fan_out`` squared ranges of about equal size,
-    ranked inside each range in parallel, and only one row per range is put in order across a group.
+    The area is the exact rank sum over the scores. Distinct scores are dealt to ranges of about equal numbers, in the order
+    of group and score, whatever the scale of a group's scores. They are ranked inside each range in parallel; one row per
+    range and group is put in order across a group. There are ``ranges`` of them, the session's shuffle partitions by default.
     """
     known = predictions.filter(F.col(label).isNotNull())
     keys = list(by)
@@ -97,13 +98,12 @@ def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model
         F.count_if(~actual & ~said).alias("tn"),
         F.count_if(actual & ~said).alias("fn"),
     )
-    shares = [i / fan_out**2 for i in range(1, fan_out**2)]
-    edges = known.agg(F.percentile_approx(score, shares).alias("edges")).scalar()
-    counts = counts.withColumn("_edges", edges)
-    counts = counts.withColumn("_range", _range_of("_score", "_edges", fan_out)).drop("_edges")
     if conditions:
         counts = _spread_to_segments(counts, list(conditions))
         keys[-1] = "segment"
+        # Memberships of one segment may share a score; a score is in one range only.
+        counts = counts.groupBy(*keys, "_score").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")])
+    counts = in_ranges(counts, [*keys, "_score"], ranges)
 
     # With peers in the running counts, sum(pos * neg up to) counts the pairs neg <= pos and sum(neg * pos up to) the
     # pairs pos <= neg. Their difference to all pairs, halved, is the rank sum with ties worth one half.
@@ -132,14 +132,9 @@ def classification_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model
     return totals.select(*keys, n.cast("long").alias("n_rows"), *_rounded(values, digits))
 
 
-def _range_of(value: str, edges: str, step: int) -> Column:
-    """Number of sorted edges below a value: first among every ``step``-th edge, then among those behind the last hit."""
-    def below(some: Column) -> Column:
-        return F.size(F.filter(some, lambda e: e < F.col(value)))
-
-    coarse = F.array(*[F.get(edges, F.lit(i - 1)) for i in range(step, step**2, step)])
-    start = below(coarse) * step
-    return start + below(F.slice(edges, start + 1, step - 1))
+def in_ranges(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """Add ``_range``: numbers that rise with the order; the ranges hold about equally many rows."""
+    return df.repartitionByRange(*([ranges] if ranges else []), *order).withColumn("_range", F.spark_partition_id())
 
 
 def regression_metrics(predictions: DataFrame, by: tuple[str, ...] = ("model",),

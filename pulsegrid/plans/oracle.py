@@ -349,6 +349,11 @@ select file_name, size from walk where taken"""
                                  "from segmented group by segment",
         "cls_metrics": f"with {LABELLED}, {class_predictions('labelled')}, "
                        f"{class_metrics('class_predictions', 'model')} select * from class_metrics",
+        "auc_scales": f"""with {LABELLED}, scaled as (
+            select 'rule_wide' as model, *, (RelativeTimeMilliseconds * 7919 % 1000003) * 1000.0::double + HR as probability from labelled
+            union all select 'rule_narrow', *, 0.5::double + RelativeTimeMilliseconds * 1e-12::double from labelled),
+          scored as (select *, case when SpO2 < 94 then 1 else 0 end as prediction from scaled),
+          {class_metrics('scored', 'model')} select * from class_metrics""",
         "reg_metrics": f"with {KNOWN_VALUES}, {value_metrics('value_predictions', 'model')} "
                        "select * from value_metrics",
         "segment_metrics": f"with {SEGMENT_CLASS} select * from class_metrics",
@@ -386,7 +391,7 @@ select file_name, size from walk where taken"""
           case when event_id % 11 <> 0 then vehicle_id end as vehicle_id, vehicle_type, eclass, lat, lon, speed,
           0::double as angle, CO2, 0::double as CO, case when event_id % 5 <> 0 then noise else 0 end as noise,
           trunc(timestep * 1000)::bigint as event_time_ms from placed""",
-        "xml_rejects": "select case when event_id % 17 = 0 then 'rejected' else 'accepted' end as kind, count(*) as timesteps "
+        "xml_rejects": "select case when event_id % 17 < 3 then 'rejected' else 'accepted' end as kind, count(*) as timesteps "
                        "from events group by 1",
         "grid_to_wgs84": f"with {xy}, {wgs84('xy')} select event_id, lat, lon from placed",
         "stream_pollution_update": f"{ten_co2} select * from pollution",

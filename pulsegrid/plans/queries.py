@@ -19,8 +19,8 @@ from pulsegrid.operators.models import MODELS, fit_model, load_model, save_model
 from pulsegrid.operators.windows import WindowSpec, pollution_results, traffic_results
 from pulsegrid.plans import jobs
 from pulsegrid.plans.views import (
-    as_emissions, class_predictions, emissions, labelled_vitals, raw_vitals, recording_files, recording_name, table,
-    value_predictions, vitals,
+    as_emissions, class_predictions, emissions, labelled_vitals, raw_vitals, recording_files, recording_name,
+    scaled_predictions, table, value_predictions, vitals,
 )
 from pulsegrid.schemas import EMISSION_EVENT, TRAFFIC_RESULT, pollution_result_schema
 from pulsegrid.session import pin_utc, shared_dir
@@ -180,6 +180,12 @@ def reg_metrics(spark, sf_dir):
     return evaluation.regression_metrics(value_predictions(labelled_vitals(spark, sf_dir)), by=("model",))
 
 
+@query
+def auc_scales(spark, sf_dir):
+    """Metrics of models whose scores are nearly all different and of very different scale."""
+    return evaluation.classification_metrics(scaled_predictions(labelled_vitals(spark, sf_dir)))
+
+
 def _segment_cls(spark, sf_dir) -> DataFrame:
     return evaluation.classification_metrics(class_predictions(_timed(spark, sf_dir)), conditions=evaluation.segments())
 
@@ -358,10 +364,14 @@ def xml_emissions(spark, sf_dir):
 
 @query
 def xml_rejects(spark, sf_dir):
-    """Timesteps as text, some of them not well formed: none disappears without being counted."""
-    broken = F.col("event_id") % 17 == 0
-    text = F.format_string("<timestep time=\"%d.0\"><vehicle id=\"veh%d\" CO2=%s1.5\"/>", "event_id", "user_id", F.when(broken, "").otherwise('"'))
-    decoded = events_io.timesteps_from_text(table(spark, sf_dir, "events").select(text.alias("value")))
+    """A document with faulty timesteps: an open quote, no closing tag, a misspelt vehicle. None disappears uncounted."""
+    path = shared_dir(spark, "faulty-xml")
+    fault = F.col("event_id") % 17
+    text = F.format_string(
+        "<timestep time=\"%d.0\"><%s id=\"veh%d\" CO2=%s1.5\"/>%s", "event_id", F.when(fault == 2, "vehicl").otherwise("vehicle"), "user_id",
+        F.when(fault == 0, "").otherwise('"'), F.when(fault == 1, "").otherwise("</timestep>"))
+    table(spark, sf_dir, "events").select(text).write.text(path)
+    decoded = events_io.timesteps_from_text(spark.read.option("lineSep", "<timestep").text(path))
     good, bad = events_io.accepted(decoded), events_io.rejected(decoded)
     return good.agg(F.lit("accepted").alias("kind"), F.count("*").alias("timesteps")).unionByName(
         bad.agg(F.lit("rejected").alias("kind"), F.count("value").alias("timesteps")))

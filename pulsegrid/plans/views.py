@@ -120,6 +120,18 @@ def class_predictions(rows: DataFrame) -> DataFrame:
     )
 
 
+def scaled_predictions(rows: DataFrame) -> DataFrame:
+    """Two rules with nearly as many scores as rows: one far apart, one within a millionth of each other."""
+    time = F.col("RelativeTimeMilliseconds")
+    wide, narrow = (time * 7919 % 1000003) * 1000.0 + F.col("HR"), 0.5 + time * 1e-12
+    scored = rows.withColumn("_m", F.explode(F.array(
+        F.struct(F.lit("rule_wide").alias("model"), wide.alias("probability")),
+        F.struct(F.lit("rule_narrow").alias("model"), narrow.alias("probability")),
+    )))
+    return scored.select(
+        "_m.model", "label_classification", F.when(F.col("SpO2") < 94, 1.0).otherwise(0.0).alias("prediction"), "_m.probability")
+
+
 def value_predictions(rows: DataFrame) -> DataFrame:
     """Two fixed heart-rate rules over labelled rows, in the shape of model predictions."""
     from_pulse = F.col("Pulse") * 0.97 + 1.25

@@ -18,33 +18,48 @@ def read_emission_xml(spark: SparkSession, path: str, stream: bool = False,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Vehicle records of emission documents as events.
 
-    The closing tag of a timestep serves as line separator of the text source. A document is thereby cut into splits
+    The opening of a timestep serves as line separator of the text source. A document is thereby cut into splits
     like any text file and parsed by many tasks, however large it is; an XML source would give it to a single one.
     """
-    reader = (spark.readStream if stream else spark.read).option("lineSep", _CLOSING_TAG)
+    reader = (spark.readStream if stream else spark.read).option("lineSep", _OPENING_TAG)
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return vehicles_to_events(accepted(timesteps_from_text(reader.text(path))))
 
 
 def rejected_timesteps(spark: SparkSession, path: str) -> DataFrame:
-    """Text of the timesteps of a document that are no well-formed elements, in column ``value``."""
-    return rejected(timesteps_from_text(spark.read.option("lineSep", _CLOSING_TAG).text(path)))
+    """Text of what is no well-formed timestep of a document, in column ``value``."""
+    return rejected(timesteps_from_text(spark.read.option("lineSep", _OPENING_TAG).text(path)))
 
 
 def timesteps_from_text(pieces: DataFrame, value: str = "value") -> DataFrame:
-    """Parse pieces of text that each end where a closing timestep tag stood.
+    """Parse the pieces of a document that was cut at every opening of a timestep; each piece is what follows one.
 
-    What precedes the last opening tag of a piece is the head of the document or timesteps without vehicles, and
-    the piece behind the last timestep has no vehicle either. A timestep that is not well formed keeps its text in the
-    reject column.
+    A piece is a timestep up to its closing tag, or to the end of a tag that closes itself. It keeps its text in the reject
+    column if it has no end, if it is not well formed, or if it holds another number of elements than vehicles were read,
+    as with a misspelt vehicle tag. What stands behind the end, or in front of the first timestep, is left out unless it
+    holds vehicles or a closing tag; then it is a reject of its own, as a timestep with a misspelt opening is.
     """
-    with_vehicle = pieces.filter(F.contains(F.col(value), F.lit("<vehicle")))
-    last = F.substring_index(F.col(value), _OPENING_TAG, -1)
-    element = F.concat(F.lit(_OPENING_TAG), last, F.lit(_CLOSING_TAG))
+    text = F.col(value)
+    opens = text.rlike(r"^(\s+[^\s<]|\s*/?>)")
+    alone = F.regexp_extract(text, r"^[^<>]*/>", 0)
+    inside = F.substring_index(text, _CLOSING_TAG, 1)
+    body = F.when(alone != "", alone).when(text.contains(_CLOSING_TAG), F.concat(inside, F.lit(_CLOSING_TAG)))
+    stray = lambda part: part.contains("<vehic") | part.contains(_CLOSING_TAG)
+    cut = pieces.select(text.alias("_text"), F.when(opens, body).alias("_body"), opens.alias("_opens"))
+    rest = F.when(F.col("_body").isNotNull(), F.expr("substring(_text, length(_body) + 1)")).when(~F.col("_opens"), F.col("_text"))
+    parts = F.array(
+        F.when(F.col("_opens"), F.struct(F.coalesce(F.concat(F.lit(_OPENING_TAG), "_body"), F.concat(F.lit(_OPENING_TAG), "_text")).alias("element"),
+                                         F.col("_body").isNotNull().alias("ended"))),
+        F.when(stray(rest), F.struct(rest.alias("element"), F.lit(False).alias("ended"))))
+    each = cut.select(F.explode(F.array_compact(parts)).alias("part")).select("part.*")
     with_rejects = T.StructType(EMISSION_XML.fields + [T.StructField(REJECT_COLUMN, T.StringType())])
-    parsed = F.from_xml(element, with_rejects, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN})
-    return with_vehicle.select(parsed.alias("step")).select("step.*")
+    parsed = F.from_xml(F.when(F.col("ended"), F.col("element")), with_rejects, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN})
+    steps = each.select("element", "ended", parsed.alias("step"))
+    elements = F.regexp_count(F.regexp_replace("element", "(?s)<!--.*?-->", ""), F.lit("<[A-Za-z_:]")) - 1
+    whole = F.col("ended") & F.col(f"step.{REJECT_COLUMN}").isNull() & (F.coalesce(F.array_size("step.vehicle"), F.lit(0)) == elements)
+    return steps.select(
+        *[f"step.{f.name}" for f in EMISSION_XML.fields], F.when(~F.coalesce(whole, F.lit(False)), F.col("element")).alias(REJECT_COLUMN))
 
 
 def vehicles_to_events(timesteps: DataFrame) -> DataFrame:

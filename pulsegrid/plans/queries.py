@@ -879,6 +879,67 @@ def landing_stream(spark, sf_dir):
     return landed.select("row_key", "HR", "NBP_Sys", "Alarm_1")
 
 
+@query
+def landing_quarantine(spark, sf_dir):
+    """Three portions of recordings, the second with its columns in another order: it is noted, the others land."""
+    path = shared_dir(spark, "quarantine")
+    rows = raw_vitals(spark, sf_dir).drop("case_name")
+    schema = None
+    respiration = F.col("Set RR")
+    for number, portion in enumerate((respiration == "10", respiration == "11", ~respiration.isin("10", "11"))):
+        columns = [f"`{c}`" for c in rows.columns]
+        part = rows.filter(portion).select(*(reversed(columns) if number == 1 else columns))
+        part.write.mode("append").option("header", "true").csv(f"{path}/files")
+        schema = schema or header_schema(spark, f"{path}/files", text=("row_key",))
+        files_io.land_new_files(spark, f"{path}/files", f"{path}/table", f"{path}/progress", schema, pattern="*.csv",
+                                quarantine=f"{path}/odd").awaitTermination()
+    landed = tables.read_table(spark, f"{path}/table").agg(F.lit("landed").alias("kind"), F.count("*").alias("counted"))
+    odd = files_io.read_quarantine(spark, f"{path}/odd").filter("reason = 'other order'")
+    return landed.unionByName(odd.agg(F.lit("quarantined").alias("kind"), F.count_distinct("header").alias("counted")))
+
+
+def _recording_folders(spark, sf_dir) -> str:
+    """Recordings as files below folders and under names in different cases, beside files that are none."""
+    path = shared_dir(spark, "folders")
+    rows = vitals(spark, sf_dir).select("case_name", "HR")
+    case = F.pmod(F.xxhash64("case_name"), F.lit(2))
+    for number, folder in enumerate(("case01/vsd_FullData", "Fulldata/x y")):
+        part = rows.filter(case == number)
+        part.repartition(16, "case_name").write.option("header", "true").csv(f"{path}/{folder}")
+    rows.limit(5).write.option("header", "true").csv(f"{path}/trends")
+    return path
+
+
+@query
+def discovered_recordings(spark, sf_dir):
+    """Recordings found by a folder name in any case, and only those read."""
+    path = _recording_folders(spark, sf_dir)
+    found = files_io.discovered_files(spark, path, folder="fullDATA")
+    rows = spark.read.schema("case_name string, HR double").option("header", "true").csv(files_io.selected_paths(found))
+    return rows.groupBy("case_name").agg(F.count("*").alias("rows"), F.max("HR").alias("max_hr"))
+
+
+@query
+def budget_sample_scan(spark, sf_dir):
+    """Files of a greedy sample are the only ones that are read."""
+    files = files_io.discovered_files(spark, _recording_folders(spark, sf_dir), folder="fulldata")
+    budget = _budget(files, 0.4)
+    chosen = files_io.greedy_budget_sample(files, budget)
+    paths = files_io.selected_paths(chosen)
+    rows = spark.read.schema("case_name string, HR double").option("header", "true").csv(paths)
+    scanned = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    read = scanned.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    wanted = chosen.agg(F.count("*").alias("files"), F.sum("size").alias("chosen_bytes"))
+    lines = rows.agg(F.count("*").alias("rows"))
+    every = spark.read.text(paths).agg((F.count("*") - F.lit(len(paths))).alias("lines"))
+    one = lambda df: df.select(F.struct("*")).scalar()
+    joined = spark.range(1).select(one(read).alias("r"), one(wanted).alias("w"), one(lines).alias("l"), one(every).alias("e"))
+    return joined.select(
+        (F.col("w.chosen_bytes") <= budget).alias("within_budget"),
+        ((F.col("r.n") == F.col("w.files")) & (F.col("r.bytes") == F.col("w.chosen_bytes"))).alias("only_selected_scanned"),
+        (F.col("l.rows") == F.col("e.lines")).alias("all_rows_read"))
+
+
 @query
 def landing_report(spark, sf_dir):
     return files_io.landing_report(recording_files(spark, sf_dir), _landed(spark, sf_dir))

@@ -6,6 +6,8 @@ it with joins and running totals; file contents are only read afterwards.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pulsegrid.functions.hashing import digest
 from pulsegrid.functions.text import base_name, case_id, safe_names
 from pulsegrid.schemas import VITALS_RENAMES
+from pulsegrid.streaming.storage import first_line
 
 BYTES_PER_GB = 1024**3
 
@@ -30,6 +33,30 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*fulldata*.cs
                         F.col("length").alias("size"))
 
 
+def discovered_files(spark: SparkSession, root: str, name: str | None = None, folder: str | None = None,
+                     suffix: str = ".csv") -> DataFrame:
+    """Files at any depth below ``root`` whose name or folder holds a text, in any case; contents are not read.
+
+    ``name`` is looked for in the file name, ``folder`` in the folders between ``root`` and the file.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    listed = files.select("path", F.col("_metadata.file_name").alias("file_name"), F.col("length").alias("size"))
+    start = F.locate(root.rstrip("/"), F.col("path"))
+    behind = F.when(start > 0, start + len(root.rstrip("/"))).otherwise(1)
+    below = F.lower(F.regexp_replace(F.substr("path", behind), "[^/]*$", ""))
+    wanted = F.lower("file_name").endswith(suffix.lower())
+    if name:
+        wanted = wanted & F.lower("file_name").contains(name.lower())
+    if folder:
+        wanted = wanted & below.contains(folder.lower())
+    return listed.filter(wanted).select("path", "file_name", "size")
+
+
+def selected_paths(files: DataFrame) -> list[str]:
+    """Paths of chosen files for a reader; as Spark itself does, the driver holds the names of the files it plans."""
+    return [r["path"] for r in files.select("path").distinct().orderBy("path").toLocalIterator()]
+
+
 def inventory_summary(files: DataFrame) -> DataFrame:
     total = F.coalesce(F.sum("size"), F.lit(0))
     return files.agg(F.count("*").alias("files"), total.alias("bytes"), (total / BYTES_PER_GB).alias("gb"))
@@ -63,26 +90,28 @@ def budget_sample(files: DataFrame, target_bytes: int, seed: int = 42) -> DataFr
 def greedy_budget_sample(files: DataFrame, target_bytes: int, seed: int = 42) -> DataFrame:
     """Like ``budget_sample``, but a file that would overshoot is skipped and later, smaller ones still fit in.
 
-    Behind the first file that overshoots only files no larger than the rest of the budget can follow, so each round
-    takes the longest prefix of those. A round gives the driver one row of totals; the result is one filter.
+    Files are classed by the power of two below their size, and so is the room left. While the room stays in its class,
+    larger classes never fit, smaller ones always do, and the first of the same class that fits ends this, as does a sum of
+    smaller files that does. Running sums of the smaller files tell where that happens, so the room falls by a class in each
+    round: at most one round per bit of the budget. A round gives the driver one row; the result is one filter.
     """
     ordered = files.withColumn("_place", F.struct(digest("file_name", seed=seed), "file_name"))
     listed = ordered.persist()
-    room, behind, taken = target_bytes, F.lit(True), F.lit(False)
+    room, behind, taken = target_bytes, F.lit(True), F.col("size") <= 0
     while room > 0:
-        candidate = behind & (F.col("size") <= room)
-        sized = running_size(listed.filter(candidate), seed)
-        fits = F.col("before") + F.col("size") <= room
-        totals = sized.agg(F.sum(F.when(fits, F.col("size"))).alias("used"),
-                           F.min(F.when(~fits, F.col("_place"))).alias("stop")).first()
-        if totals["used"] is None:
-            break
-        if totals["stop"] is None:
-            taken = taken | candidate
+        base = 1 << (room.bit_length() - 1)
+        small, same = F.col("size") < base, (F.col("size") >= base) & (F.col("size") <= room)
+        sums = running_size(listed.filter(behind & (F.col("size") > 0) & (small | same)).withColumns(
+            {"_whole": F.col("size"), "size": F.when(small, F.col("size")).otherwise(0)}), seed)
+        left = F.lit(room) - F.col("before") - F.col("_whole")
+        turns = F.when(F.col("size") > 0, left < base).otherwise(left >= 0)
+        stop = sums.filter(turns).agg(F.min(F.struct("_place", left.alias("left"))).alias("stop")).first()["stop"]
+        if stop is None:
+            taken = taken | (behind & small)
             break
-        stop = F.struct(*[F.lit(v) for v in totals["stop"]])
-        taken = taken | (candidate & (F.col("_place") < stop))
-        room, behind = room - totals["used"], F.col("_place") > stop
+        place = F.struct(*[F.lit(v) for v in stop["_place"]])
+        taken = taken | (behind & small & (F.col("_place") < place)) | (F.col("_place") == place)
+        room, behind = stop["left"], F.col("_place") > place
     listed.unpersist()
     return ordered.filter(taken).drop("_place")
 
@@ -149,37 +178,53 @@ def landing_report(files: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def landing_check(files: DataFrame) -> DataFrame:
-    """What lies in a folder: files, size, number of cases, first and last case."""
-    case = F.when(F.col("file_name").contains("fulldata"), case_id(F.col("file_name")))
+    """What lies in a folder: files, size, number of cases, first and last case by number, however many digits they have."""
+    case = F.nullif(F.when(F.lower("file_name").contains("fulldata"), case_id(F.col("file_name"))), F.lit(""))
+    digits = F.ltrim(case, F.lit("0"))
+    number = F.when(case.isNotNull(), F.struct(F.length(digits).alias("length"), digits.alias("digits"), case.alias("case")))
     return files.agg(
         F.count("*").alias("files"),
         (F.coalesce(F.sum("size"), F.lit(0)) / BYTES_PER_GB).alias("gb"),
         F.count_distinct(case).alias("cases"),
-        F.min(case).alias("first_case"),
-        F.max(case).alias("last_case"),
+        F.min(number)["case"].alias("first_case"),
+        F.max(number)["case"].alias("last_case"),
     )
 
 
 def land_new_files(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType,
-                   pattern: str = "*fulldata*.csv") -> StreamingQuery:
-    """Append recording files not seen before to a Parquet table; progress is kept in the checkpoint folder."""
-    rows = (
-        spark.readStream.schema(schema)
-        .option("header", "true")
-        # A file with its columns in another order stops the stream instead of landing under wrong names.
-        .option("enforceSchema", "false")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .csv(source)
-        .withColumn("case_name", F.col("_metadata.file_name"))
-        .withColumn("case_id", case_id(F.col("case_name")))
-    )
-    safe = rows.toDF(*safe_names([VITALS_RENAMES.get(name, name) for name in rows.columns]))
-    return (
-        safe.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("case_id")
-        .trigger(availableNow=True)
-        .start()
-    )
+                   pattern: str = "*fulldata*.csv", quarantine: str | None = None, files_per_batch: int = 1000) -> StreamingQuery:
+    """Append recording files not seen before to a Parquet table; progress is kept in the checkpoint folder.
+
+    The stream sees names only. The header line of each new file, at most ``files_per_batch`` at once, is compared with the
+    schema: a file whose columns differ or stand in another order is noted in ``quarantine`` (path, header, reason) and
+    left where it is, and the others land. Without a quarantine such a file ends the stream with an error. A repeated batch
+    replaces what it wrote.
+    """
+    stream = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    names = stream.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).load(source).select("path")
+    expected = ",".join(schema.names)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        headers = {r.path: first_line(spark, r.path) for r in batch.collect()}
+        odd = {p: h for p, h in headers.items() if header_columns(h) != schema.names}
+        if odd and not quarantine:
+            raise ValueError(f"other columns than {expected}: {sorted(odd)}")
+        if odd:
+            noted = [(p, h, "no header" if not h else "other columns" if set(header_columns(h)) != set(schema.names) else "other order") for p, h in sorted(odd.items())]
+            spark.createDataFrame(noted, "path string, header string, reason string").coalesce(1).write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")
+        good = sorted(set(headers) - set(odd))
+        if good:
+            rows = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(good)
+            rows = rows.withColumn("case_name", F.col("_metadata.file_name")).withColumn("case_id", case_id(F.col("case_name")))
+            safe = rows.toDF(*safe_names([VITALS_RENAMES.get(name, name) for name in rows.columns]))
+            safe.write.mode("overwrite").partitionBy("case_id").parquet(f"{target}/batch_id={batch_id}")
+
+    return names.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land).trigger(availableNow=True).start()
+
+
+def header_columns(line: str) -> list[str]:
+    return next(csv.reader([line]), [])
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("path string, header string, reason string, batch_id long").json(path)

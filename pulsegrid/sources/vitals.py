@@ -8,7 +8,7 @@ from pulsegrid.functions.text import case_id
 from pulsegrid.schemas import vitals_schema
 
 
-def header_schema(spark: SparkSession, path: str, text: tuple[str, ...] = (), **options: str) -> T.StructType:
+def header_schema(spark: SparkSession, path: str | list[str], text: tuple[str, ...] = (), **options: str) -> T.StructType:
     """Schema with the columns of the file header, typed by name.
 
     Only a header line is read. Clock times, ratios, alarms and the columns named in ``text`` stay text, every other
@@ -21,9 +21,9 @@ def header_schema(spark: SparkSession, path: str, text: tuple[str, ...] = (), **
     ])
 
 
-def read_vitals(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_vitals(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
                 recursive: bool = False, pattern: str | None = None, text: tuple[str, ...] = ()) -> DataFrame:
-    """Recording files by glob, with the file each row came from.
+    """Recording files by glob, or those of a list of paths, with the file each row came from.
 
     Types are never inferred: that would read everything twice and takes clock texts for timestamps. With
     ``enforceSchema`` off, a file whose header differs from the schema is an error rather than shifted columns.

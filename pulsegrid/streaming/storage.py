@@ -37,3 +37,14 @@ def make_folder(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     store, where = _opened(spark, path)
     store.delete(where, True)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file; nothing else of it is read."""
+    store, where = _opened(spark, path)
+    stream = store.open(where)
+    try:
+        jvm = spark._jvm.java.io
+        return (jvm.BufferedReader(jvm.InputStreamReader(stream, "UTF-8")).readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()

@@ -112,3 +112,71 @@ def test_inventory_and_incremental_landing(spark, tmp_path):
     assert {(r.case_name, r["count"]) for r in landed.groupBy("case_name").count().collect()} == {
         ("vsd_case01_fulldata_01.csv", 5), ("vsd_case02_fulldata_01.csv", 7), ("vsd_case02_fulldata_02.csv", 11)}
     assert "NBP_Sys" in landed.columns and landed.filter(F.col("case_id") == 2).count() == 18
+
+
+def test_greedy_sample_takes_few_rounds(spark):
+    # Each small file is followed by one that just does not fit any more: one round per such file would be many.
+    order = [n for n, _ in shuffled([(f"vsd_case{i:03d}_fulldata_01.csv", 0) for i in range(400)])]
+    room, rows = 1_000_000, []
+    for i, name in enumerate(order):
+        if i % 2 == 0:
+            rows.append((name, 2))
+            room -= 2
+        else:
+            rows.append((name, room + 1))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("greedy", "greedy")
+    found = {r.file_name for r in fio.greedy_budget_sample(frame(spark, rows), 1_000_000).collect()}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {n for n, s in rows if s == 2}
+    assert len(jobs.getJobIdsForGroup("greedy")) < 60
+
+
+def test_empty_files_cost_nothing(spark):
+    rows = [("a", 0), ("b", 10), ("c", 0), ("d", 3)]
+    assert {r.file_name for r in fio.greedy_budget_sample(frame(spark, rows), 4).collect()} == {"a", "c", "d"}
+    assert {r.file_name for r in fio.greedy_budget_sample(frame(spark, rows), 0).collect()} == {"a", "c"}
+
+
+def test_discovery_by_name_and_folder_in_any_case(spark, tmp_path):
+    root = tmp_path / "Fulldata root"
+    for name in ("case01/FULLDATA/a.csv", "case02/sub fulldata x/deep/b.CSV", "case03/flat_FullData_01.csv", "case03/fulldata.txt", "trend/c.csv"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("x\n1\n")
+    found = lambda **by: sorted(r.file_name for r in fio.discovered_files(spark, str(root), **by).collect())
+    assert found(folder="fulldata") == ["a.csv", "b.CSV"]
+    assert found(name="fulldata") == ["flat_FullData_01.csv"]
+    assert len(found()) == 4
+    paths = fio.selected_paths(fio.discovered_files(spark, str(root), folder="fulldata"))
+    assert spark.read.option("header", "true").schema("x int").csv(paths).count() == 2
+
+
+def test_first_and_last_case_by_number(spark):
+    check = lambda names: tuple(fio.landing_check(frame(spark, [(n, 1) for n in names])).first())[2:]
+    assert check(["vsd_case99_fulldata_1.csv", "vsd_case101_fulldata_1.csv", "vsd_case02_FULLDATA_1.csv", "x.csv"]) == (3, "02", "101")
+    assert check([f"case{n}_fulldata.csv" for n in ("123456789012345678901234567890", "9", "0010")]) == (3, "9", "123456789012345678901234567890")
+    assert check(["x.csv"]) == (0, None, None)
+
+
+def test_odd_files_are_quarantined_and_the_stream_goes_on(spark, tmp_path):
+    schema, path = "RelativeTimeMilliseconds double, HR double, `Alarm 1` string", shared_dir(spark, "odd")
+    schema = spark.createDataFrame([], schema).schema
+    files = tmp_path / "files"
+    files.mkdir()
+    runs = [
+        {"vsd_case01_fulldata_1.csv": '﻿RelativeTimeMilliseconds,HR,"Alarm 1"\n1,60,x\n'},
+        {"vsd_case02_fulldata_1.csv": "HR,RelativeTimeMilliseconds,Alarm 1\n60,1,x\n", "vsd_case03_fulldata_1.csv": "RelativeTimeMilliseconds,HR,Alarm 1\n2,61,\n",
+         "vsd_case04_fulldata_1.csv": "\n", "vsd_case05_fulldata_1.csv": "a,b\n1,2\n"},
+        {"vsd_case06_fulldata_1.csv": "RelativeTimeMilliseconds,HR,Alarm 1\n3,62,y\n"},
+    ]
+    for batch in runs:
+        for name, text in batch.items():
+            (files / name).write_text(text)
+        fio.land_new_files(spark, str(files), f"{path}/t", f"{path}/c", schema, quarantine=f"{path}/q").awaitTermination()
+    landed = spark.read.parquet(f"{path}/t")
+    assert sorted((r.HR, r.Alarm_1, r.case_name) for r in landed.collect()) == [
+        (60.0, "x", "vsd_case01_fulldata_1.csv"), (61.0, None, "vsd_case03_fulldata_1.csv"), (62.0, "y", "vsd_case06_fulldata_1.csv")]
+    noted = {r.path.rsplit("/", 1)[1][8:10]: r.reason for r in fio.read_quarantine(spark, f"{path}/q").collect()}
+    assert noted == {"02": "other order", "04": "no header", "05": "other columns"}
+    with pytest.raises(Exception, match="other columns"):
+        fio.land_new_files(spark, str(files), f"{path}/u", f"{path}/d", schema).awaitTermination()

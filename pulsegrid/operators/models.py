@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -13,12 +12,14 @@ from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.cleaning import CLASS_LABEL, REG_LABEL
 from pulsegrid.operators.evaluation import classification_metrics, regression_metrics
 from pulsegrid.schemas import TIME_COLUMN
+from pulsegrid.session import shared_dir
+from pulsegrid.streaming.storage import remove
 
 # Model inputs, and the settings each model is fitted with.
 FEATURES = [
@@ -35,6 +36,7 @@ FEATURES = [
 SEED = 11
 FOLDS = 3
 PARALLELISM = 2
+FOLD = "_fold"
 
 
 @dataclass(frozen=True)
@@ -96,29 +98,40 @@ class FittedModel:
     train_time_s: float
 
 
+def fold_of(keys: list[str], folds: int, seed: int) -> Column:
+    """Fold 0 … folds - 1 of a row, from a digest of its keys."""
+    return F.pmod(F.xxhash64(F.lit(seed), *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys]), F.lit(folds)).cast("int")
+
+
 def fit_model(name: str, train: DataFrame, features: list[str] | None = None, grid: dict[str, list] | None = None,
-              folds: int = FOLDS, seed: int = SEED, parallelism: int = PARALLELISM) -> FittedModel:
-    """Grid search with k-fold cross-validation and a refit on the whole training part."""
+              folds: int = FOLDS, seed: int = SEED, parallelism: int = PARALLELISM, *,
+              fold_keys: list[str] | None = None) -> FittedModel:
+    """Grid search with k-fold cross-validation and a refit on the whole training part.
+
+    The fold of a row follows from a digest of ``fold_keys``, by default of its inputs and label, so it is the same however
+    the rows are partitioned; equal rows share a fold. The used columns are landed in the shared folder once, which the many
+    passes of the search read; nothing of them is held by the executors for longer than MLlib does itself.
+    """
     spec = MODELS[name]
     wanted = spec.default_features if features is None else features
     present = [f for f in wanted if f in train.columns]
-    rows = train.filter(F.col(spec.label).isNotNull()).select(*present, spec.label)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        used, dropped = usable_features(rows, wanted)
-        estimator = spec.estimator(labelCol=spec.label, featuresCol="features", seed=seed)
-        builder = ParamGridBuilder()
-        for param, values in (grid or spec.grid).items():
-            builder = builder.addGrid(estimator.getParam(param), values)
-        search = CrossValidator(
-            estimator=Pipeline(stages=preparation(used) + [estimator]), estimatorParamMaps=builder.build(),
-            evaluator=spec.evaluator(), numFolds=folds, seed=seed, parallelism=parallelism,
-        )
-        started = time.monotonic()
-        fitted = search.fit(rows)
-        seconds = round(time.monotonic() - started, 1)
-    finally:
-        rows.unpersist()
+    labelled = train.filter(F.col(spec.label).isNotNull())
+    path = shared_dir(train.sparkSession, "fit-rows")
+    labelled.select(*present, spec.label, fold_of(fold_keys or [*present, spec.label], folds, seed).alias(FOLD)).write.parquet(path)
+    rows = train.sparkSession.read.parquet(path)
+    used, dropped = usable_features(rows, wanted)
+    estimator = spec.estimator(labelCol=spec.label, featuresCol="features", seed=seed)
+    builder = ParamGridBuilder()
+    for param, values in (grid or spec.grid).items():
+        builder = builder.addGrid(estimator.getParam(param), values)
+    search = CrossValidator(
+        estimator=Pipeline(stages=preparation(used) + [estimator]), estimatorParamMaps=builder.build(),
+        evaluator=spec.evaluator(), numFolds=folds, seed=seed, parallelism=parallelism, foldCol=FOLD,
+    )
+    started = time.monotonic()
+    fitted = search.fit(rows)
+    seconds = round(time.monotonic() - started, 1)
+    remove(train.sparkSession, path)
     metrics = fitted.avgMetrics
     best = max(metrics) if spec.evaluator().isLargerBetter() else min(metrics)
     return FittedModel(name, fitted.bestModel, used, dropped, best, seconds)

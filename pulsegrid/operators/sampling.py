@@ -16,6 +16,15 @@ def random_split(df: DataFrame, shares: tuple[float, ...] = SPLIT_SHARES, seed:
     return df.randomSplit(list(shares), seed)
 
 
+def with_random_split(df: DataFrame, shares: tuple[float, ...] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> DataFrame:
+    """Name of the part each row is drawn for, in one column: written partitioned by it, the rows are scanned once."""
+    drawn = F.rand(seed)
+    part = F.lit(SPLIT_NAMES[-1])
+    for i, name in reversed(list(enumerate(SPLIT_NAMES[:-1]))):
+        part = F.when(F.col("_drawn") < sum(shares[: i + 1]), name).otherwise(part)
+    return df.withColumn("_drawn", drawn).withColumn("split", part).drop("_drawn")
+
+
 def with_split(df: DataFrame, keys: list[str], shares: tuple[float, ...] = SPLIT_SHARES,
                seed: int = SPLIT_SEED) -> DataFrame:
     """Name of the part each row belongs to, from a digest of its keys.

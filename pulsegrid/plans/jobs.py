@@ -14,7 +14,7 @@ from pulsegrid.operators.evaluation import (
     classification_metrics, regression_metrics, segments, with_time_norm,
 )
 from pulsegrid.operators.models import MODELS, fit_model, load_model, save_model, score, validation_metrics
-from pulsegrid.operators.sampling import SPLIT_NAMES, SPLIT_SEED, SPLIT_SHARES, random_split, with_split
+from pulsegrid.operators.sampling import SPLIT_NAMES, SPLIT_SEED, SPLIT_SHARES, with_random_split, with_split
 from pulsegrid.operators.windows import WindowSpec, pollution_results, traffic_results
 from pulsegrid.schemas import TIME_COLUMN
 from pulsegrid.sources.tables import read_metrics, read_table, write_metrics, write_table
@@ -60,14 +60,12 @@ def prepare_recordings(spark: SparkSession, source: str, target: str) -> DataFra
 
 def land_splits(rows: DataFrame, out: str, split_keys: list[str] | None = None,
                 shares: tuple[float, ...] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> list[DataFrame]:
-    """Write the three parts as tables and read them back, so that no later step cleans or draws rows again."""
+    """Write the three parts in one scan and read them back, so that no later step cleans or draws rows again."""
     path = f"{out}/splits"
-    if split_keys:
-        write_table(with_split(rows, split_keys, shares, seed), path, partition_by=["split"])
-    else:
-        for name, part in zip(SPLIT_NAMES, random_split(rows, shares, seed)):
-            write_table(part, f"{path}/split={name}")
-    return [read_table(rows.sparkSession, f"{path}/split={name}") for name in SPLIT_NAMES]
+    marked = with_split(rows, split_keys, shares, seed) if split_keys else with_random_split(rows, shares, seed)
+    write_table(marked, path, partition_by=["split"])
+    landed = rows.sparkSession.read.schema(marked.schema).parquet(path)
+    return [landed.filter(F.col("split") == name).drop("split") for name in SPLIT_NAMES]
 
 
 def landed_metrics(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

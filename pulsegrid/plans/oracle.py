@@ -439,13 +439,18 @@ select file_name, size from walk where taken"""
                       "regexp_extract(case_name, 'case([0-9]+)', 1) as case_id, count(*) as rows from labelled group by 1, 2",
         "random_split": f"with {LABELLED} select count(*) as rows, count(distinct row_key) as keys, true as shares_hold from labelled",
         **{name: f"""with {TIMED}, held as (select * from timed where {SPLIT.format('row_key')} = 'test'), {segments('held')}
-          select segment, count(*) as n_rows, true as in_range from segmented group by segment"""
+          select segment, count(*) as n_rows, true as in_range, true as reloaded_same from segmented group by segment"""
            for name in ("rf_cls", "gbt_cls", "rf_reg", "gbt_reg")},
         **{name: f"with {EMISSIONS}, {DAILY}, {traffic('tumbling', '1 day', types=True)} {approx}"
            for name in ("traffic_approx", "stream_traffic_approx")},
         "traffic_approx_sliding": f"with {EMISSIONS}, {SLIDING}, {traffic('sliding', '10 minutes', types=True)} {approx}",
         "stream_json_to_json": f"with {EMISSIONS}, {DAILY}, {pollution('tumbling', '1 day', POLLUTANTS)} select * from pollution",
         "stream_compacted": f"{ten_co2} select * from pollution",
+        "training_summary": "select 'RF_Regressor' as model, true as timed, true as better_than_mean",
+        "prediction_csv": f"""with {KNOWN_VALUES} select model, case_name, count(*) as rows,
+          count(*) filter (RelativeTimeMilliseconds % 13 <> 0) as numbers,
+          round(sum(prediction) filter (RelativeTimeMilliseconds % 13 <> 0), 4) as prediction_sum,
+          round(sum(label_regression), 4) as label_sum from value_predictions group by model, case_name""",
         "small_share_split": f"with {LABELLED} select {SMALL_SHARES.format('row_key')} as split, count(*) as rows from labelled group by 1",
         "capped_sample": f"with {LABELLED} select row_key, HR, SpO2 from labelled "
                          "order by md5('42|' || row_key), row_key limit 5000",

@@ -66,3 +66,21 @@ def test_train_predict_report(spark, rows, monkeypatch):
     test = with_time_norm(spark.read.parquet(f"{out}/splits/split=test"))
     full = metrics["regression"].filter("segment = 'full_test'").first()
     assert full.n_rows == test.count()
+
+
+def test_folds_do_not_follow_partitions(rows):
+    folds = lambda df: df.select("row_key", models.fold_of(["row_key"], 3, 11).alias("f")).exceptAll(
+        df.repartition(7).select("row_key", models.fold_of(["row_key"], 3, 11).alias("f"))).count()
+    assert folds(rows) == 0
+    sizes = [r["count"] for r in rows.groupBy(models.fold_of(["row_key"], 3, 11)).count().collect()]
+    assert len(sizes) == 3 and max(sizes) < 1.2 * min(sizes)
+
+
+def test_random_split_scans_once(spark, rows):
+    out = shared_dir(spark, "split-once")
+    scans = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: scans.add(1) or x, "string")
+    parts = jobs.land_splits(rows.select(seen("row_key").alias("row_key")), out)
+    assert sum(p.count() for p in parts) == rows.count() == scans.value
+    again = jobs.land_splits(rows.select("row_key").limit(3), shared_dir(spark, "split-few"), shares=(1.0, 0.0, 0.0))
+    assert [p.count() for p in again] == [3, 0, 0]

@@ -1,38 +1,54 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Base counts of a text become rates in thousandths. For every rule, stratum and candidate cutoff the labelled good
-documents of the stratum are a holdout: with ``n`` of them, ``k`` above the cutoff, the cutoff is certified if the exact
-binomial tail P(Bin(n, risk) <= k) is at most ``error`` divided by the number of all possible tests (Bonferroni). With probability 1 - ``error`` no
-certified cutoff of any stratum then rejects more than ``risk`` of the good documents by its rule. The lowest certified
-cutoff of a rule is used; a rule without one rejects nothing in that stratum.
+Base counts of a text become rates in thousandths. A setting is a cutoff for some rules; a text is rejected by a setting if any
+of its rates is above. Settings stand in one fixed order, each stricter than the one before: rule after rule, in the order of
+``RULES``, from its largest cutoff to its smallest. The labelled good documents of a stratum are the holdout: with ``n`` of
+them, ``k`` rejected by a setting, it is certified if the exact binomial tail P(Bin(n, risk) <= k) is at most ``error`` divided
+by the number of strata that are tested (Bonferroni), and if all settings before it are. A fixed order that stops at the first failure needs
+no correction of its own. So with probability 1 - ``error`` the strictest certified setting of no stratum, all rules together,
+rejects more than ``risk`` of its good documents.
+
+A stratum needs ``least_holdout`` documents for its first setting to be certifiable. Strata that have some but fewer are tested
+together as one more stratum, for whose good documents as a whole the risk then holds. Which are, follows from the numbers of
+labelled documents alone. Strata without any have no cutoffs.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not kept; null ``lang`` is a stratum of its
 own; a document labelled more than once counts with its lowest label; labels without a document, and null ids or labels,
 teach nothing; repeated rows are judged alike; an empty table or empty labels give no cutoffs. Other columns are left
-alone.
+alone, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.shared import kept
+from pulsegrid.llm.shared import _maybe, kept
 
+#: Bits of the map that clears rows without a shuffle.
+BITS = 1 << 22
 SPACE = r"[\x20\x09-\x0D]"
-#: Rate of each rule in thousandths; a rate above the cutoff is against the text.
+#: Rate of each rule in thousandths; a rate above the cutoff is against the text. Prose has least of the first ones.
 RULES = {
     "symbols": "1000 * n_symbols div greatest(word_chars, 1)",
-    "dup_lines": "1000 * n_dup_lines div greatest(n_lines, 1)",
     "repeats": "1000 * n_repeat_words div greatest(n_words, 1)",
+    "dup_lines": "1000 * n_dup_lines div greatest(n_lines, 1)",
     "capitals": "1000 * n_capitals div greatest(word_chars, 1)",
 }
-CUTOFFS = [10, 20, 30, 50, 80, 120, 200, 300, 400, 600]
-#: Largest false rejection of a rule, and the chance that any certified cutoff of any stratum breaks it.
+CUTOFFS = [600, 400, 300, 200, 120, 80, 50, 30, 20, 10]
+SETTINGS = len(RULES) * len(CUTOFFS)
+#: Largest false rejection in a stratum, and the chance that the setting of any stratum breaks it.
 RISK, ERROR = 0.01, 0.05
 #: Languages are dealt to strata by a digest, so the table of cutoffs has a fixed size.
 STRATA = 256
-TESTS = STRATA * len(RULES) * len(CUTOFFS)
+POOL = "pool"
+
+
+def least_holdout(strata: int, risk: float = RISK, error: float = ERROR) -> int:
+    """Holdout documents with which a setting that rejects none of them is certified, for so many strata."""
+    return math.ceil(math.log(error / strata) / math.log(1 - risk))
 
 
 def stratum(lang: str = "lang") -> Column:
@@ -71,12 +87,12 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def base_counts(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """(doc_id, stratum, base counts, base_failed, a rate per rule) of every row."""
+def base_counts(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text", keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, the columns ``keys``, stratum, base counts, base_failed, a rate per rule) of every row."""
     # size() of a null array is -1 in some modes; texts without repeats must count as 0.
-    rows = measured(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")))
+    rows = measured(docs.select(F.col(doc_id).alias("doc_id"), *keys, F.col(lang).alias("lang"), F.col(text).alias("text")))
     counts = rows.select(
-        "doc_id", stratum().alias("stratum"), F.col("q_words").alias("n_words"), F.col("q_chars").alias("word_chars"),
+        "doc_id", *keys, stratum().alias("stratum"), F.col("q_words").alias("n_words"), F.col("q_chars").alias("word_chars"),
         F.col("q_symbols").alias("n_symbols"), F.col("q_line_count").alias("n_lines"),
         F.col("q_dup_lines").alias("n_dup_lines"), F.greatest("q_repeats", F.lit(0)).alias("n_repeat_words"),
         F.col("q_capitals").alias("n_capitals"))
@@ -86,18 +102,32 @@ def base_counts(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang", tex
     })
 
 
-def certified(tests: DataFrame, risk: float, error: float) -> DataFrame:
-    """Tests (stratum, rule, cutoff, n, k) whose exact binomial tail is small enough for all tests together.
+def first_setting() -> Column:
+    """Number of the first setting that rejects a document; ``SETTINGS`` if none does."""
+    found = []
+    for i, rule in enumerate(RULES):
+        step = F.lit(SETTINGS)
+        for j, cutoff in reversed(list(enumerate(CUTOFFS))):
+            step = F.when(F.col(f"rate_{rule}") > cutoff, i * len(CUTOFFS) + j).otherwise(step)
+        found.append(step)
+    return F.least(*found)
 
-    The tail is summed in logarithms, at most ``risk * n`` terms; where k reaches that mean the test has failed already.
-    """
-    step = F.expr(
-        f"aggregate(case when k > 0 then sequence(1L, k) else cast(array() as array<bigint>) end,"
-        f" named_struct('t', n * ln(1 - {risk!r}D), 's', n * ln(1 - {risk!r}D)),"
-        f" (a, i) -> named_struct('t', a.t + ln((n - i + 1) / i) + ln({risk!r}D / (1 - {risk!r}D)),"
-        f" 's', greatest(a.s, a.t + ln((n - i + 1) / i) + ln({risk!r}D / (1 - {risk!r}D)))"
-        f" + ln(1 + exp(-abs(a.s - (a.t + ln((n - i + 1) / i) + ln({risk!r}D / (1 - {risk!r}D))))))), a -> a.s)")
-    return tests.filter(F.col("k") < F.lit(risk) * F.col("n")).filter(step <= F.log(F.lit(error / TESTS)))
+
+def _tail(risk: float) -> Column:
+    """Logarithm of P(Bin(n, risk) <= k), summed in logarithms, for k below the mean."""
+    odds = math.log(risk / (1 - risk))
+    return F.expr(
+        f"aggregate(case when k > 0 and k < {risk!r}D * n then sequence(1L, k) else cast(array() as array<bigint>) end,"
+        f" named_struct('t', n * {math.log(1 - risk)!r}D, 's', n * {math.log(1 - risk)!r}D),"
+        f" (a, i) -> named_struct('t', a.t + ln((n - i + 1) / i) + {odds!r}D,"
+        f" 's', greatest(a.s, a.t + ln((n - i + 1) / i) + {odds!r}D) + ln(1 + exp(-abs(a.s - (a.t + ln((n - i + 1) / i) + {odds!r}D))))),"
+        f" a -> a.s)")
+
+
+def certified(tests: DataFrame, risk: float, error: float) -> DataFrame:
+    """(place, settings): how many settings of each place are certified, for tests (place, setting, strata, n, k) of all of them."""
+    passed = (F.col("k") < F.lit(risk) * F.col("n")) & (_tail(risk) <= F.log(F.lit(error) / F.col("strata")))
+    return tests.groupBy("place").agg(F.coalesce(F.min(F.when(~passed, F.col("setting"))), F.lit(SETTINGS)).alias("settings"))
 
 
 def cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
@@ -106,14 +136,21 @@ def cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK, error: flo
     ``labels`` has doc_id and quality (1 good, 0 bad). Texts that fail the base rule are not at stake and not counted.
     """
     good = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
-    held = counts.filter(~F.col("base_failed")).join(good.select("doc_id"), "doc_id").select("stratum", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.col(f"rate_{rule}").alias("rate")) for rule in RULES])).alias("r"))
-    above = held.groupBy("stratum", "r.rule").agg(
-        F.count("*").alias("n"), *[F.sum((F.col("r.rate") > c).cast("long")).alias(f"above_{c}") for c in CUTOFFS])
-    tests = above.select("stratum", "rule", "n", F.inline(F.array(*[
-        F.struct(F.lit(c).cast("long").alias("cutoff"), F.col(f"above_{c}").alias("k")) for c in CUTOFFS])))
-    return certified(tests, risk, error).groupBy("stratum").agg(
-        *[F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RULES])
+    # Counted under a condition: a filter would be pushed below the counting, and that be done twice.
+    first = F.when(~F.col("base_failed"), first_setting())
+    held = counts.join(good.select("doc_id"), "doc_id").select("stratum", first.alias("first"))
+    sizes = kept(held.groupBy("stratum").agg(
+        F.count("first").alias("n"), *[F.count_if(F.col("first") <= i).alias(f"k_{i}") for i in range(SETTINGS)]).filter("n > 0"), "quality-holdout")
+    strata = sizes.count() + 1
+    placed = sizes.withColumn("place", F.when(F.col("n") >= least_holdout(strata, risk, error), F.col("stratum")).otherwise(POOL))
+    sums = placed.groupBy("place").agg(F.sum("n").alias("n"), *[F.sum(f"k_{i}").alias(f"k_{i}") for i in range(SETTINGS)])
+    tests = sums.select("place", "n", F.lit(sums.count()).alias("strata"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("setting"), F.col(f"k_{i}").alias("k")) for i in range(SETTINGS)])))
+    chosen = placed.select("stratum", "place").join(F.broadcast(certified(tests, risk, error)), "place")
+    ladder = F.array(*[F.lit(c).cast("long") for c in CUTOFFS])
+    step = lambda i: F.least(F.col("settings") - i * len(CUTOFFS), F.lit(len(CUTOFFS)))
+    return chosen.select("stratum", *[
+        F.when(step(i) > 0, F.try_element_at(ladder, F.greatest(step(i), F.lit(1)).cast("int"))).alias(f"cut_{rule}") for i, rule in enumerate(RULES)])
 
 
 def judged(counts: DataFrame, limits: DataFrame) -> DataFrame:
@@ -134,24 +171,28 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, error:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """The kept rows with all their columns. Texts are measured again in place instead of being moved by a join."""
-    limits = kept(cutoffs(kept(base_counts(docs), "quality-counts"), labels, risk, error), "quality-cutoffs")
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("lang"), F.col("text"))
-    rows = measured(packed).select(
-        "row", stratum().alias("stratum"), F.col("q_words").alias("n_words"), F.col("q_chars").alias("word_chars"),
-        F.col("q_symbols").alias("n_symbols"), F.col("q_line_count").alias("n_lines"), F.col("q_dup_lines").alias("n_dup_lines"),
-        F.greatest("q_repeats", F.lit(0)).alias("n_repeat_words"), F.col("q_capitals").alias("n_capitals"))
-    rows = rows.withColumns({
-        "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
-        **{f"rate_{rule}": F.expr(rate) for rule, rate in RULES.items()},
-    })
-    return judged(rows, limits).filter("kept").select("row.*")
+    """The kept rows with all their columns.
+
+    Texts are measured once. Rejected rows are known by two hashes of id, language and text; only rows that a bitmap of
+    fixed size cannot clear are shuffled.
+    """
+    hashes = [F.xxhash64("doc_id", "lang", "text").alias("q_key"), F.xxhash64(F.lit(1), "doc_id", "lang", "text").alias("q_other")]
+    packed = docs.select(F.struct("*").alias("row"), *hashes)
+    counts = kept(base_counts(packed.select("row.doc_id", "row.lang", "row.text", "q_key", "q_other"), keys=("q_key", "q_other")), "quality-counts")
+    limits = kept(cutoffs(counts, labels, risk, error), "quality-cutoffs")
+    gone = kept(judged(counts, limits).filter(~F.col("kept")).select("q_key", "q_other").distinct(), "quality-rejected")
+    marked = _maybe(packed, "q_key", gone, BITS)
+    doubtful = marked.filter("maybe").select("row.*").join(gone, ["q_key", "q_other"], "left_anti")
+    return marked.filter(~F.col("maybe")).select("row.row.*").unionByName(doubtful.select("row.*"))
 
 
 def sql(risk: float = RISK, error: float = ERROR) -> str:
     """The same in DuckDB SQL over views documents and labels."""
-    union = " union all ".join(f"select stratum, '{rule}' as rule, rate_{rule} as rate from held" for rule in RULES)
-    cuts = ", ".join(f"min(case when rule = '{rule}' then cutoff end) as cut_{rule}" for rule in RULES)
+    steps = [" ".join(f"when rate_{rule} > {c} then {i * len(CUTOFFS) + j}" for j, c in enumerate(CUTOFFS)) for i, rule in enumerate(RULES)]
+    first = "least(" + ", ".join(f"case {s} else {SETTINGS} end" for s in steps) + ")"
+    cuts = ", ".join(
+        f"case when settings > {i * len(CUTOFFS)} then {CUTOFFS}[least(settings - {i * len(CUTOFFS)}, {len(CUTOFFS)})] end as cut_{rule}"
+        for i, rule in enumerate(RULES))
     over = " or ".join(f"coalesce(rate_{rule} > cut_{rule}, false)" for rule in RULES)
     rates = ", ".join(f"{rate.replace(' div ', ' // ')} as rate_{rule}" for rule, rate in RULES.items())
     return rf"""
@@ -170,14 +211,18 @@ base as (select s.doc_id, substr(md5(coalesce(lang, '')), 1, 2) as stratum, len(
   from split s left join repeats r on r.doc_id = s.doc_id),
 counts as (select *, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed, {rates} from base),
 good as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
-held as (select counts.* from counts join good using (doc_id) where not base_failed),
-long as ({union}),
-tests as (select stratum, rule, cutoff, count(*) as n, sum(case when rate > cutoff then 1 else 0 end)::bigint as k
-  from long, unnest({CUTOFFS}) as t(cutoff) group by all),
-passed as (select * from tests where k < {risk} * n and
-  list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-    + i * ln({risk}) + (n - i) * ln(1 - {risk})))) <= {error / TESTS}),
-limits as (select stratum, {cuts} from passed group by stratum)
+held as (select stratum, {first} as first from counts join good using (doc_id) where not base_failed),
+sizes as (select stratum, count(*) as n from held group by stratum),
+number as (select count(*) + 1 as strata from sizes),
+placed as (select stratum, case when n >= ceil(ln({error} / strata) / ln(1 - {risk})) then stratum else '{POOL}' end as place from sizes, number),
+totals as (select place, count(*) as n from held join placed using (stratum) group by place),
+tests as (select place, setting, n, coalesce((select count(*) from held h join placed p using (stratum)
+    where p.place = totals.place and h.first <= setting), 0) as k from totals, range({SETTINGS}) as s(setting)),
+places as (select count(*) as strata from totals),
+judged as (select *, k < {risk} * n and list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1)
+    - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) <= {error} / strata as passed from tests, places),
+certified as (select place, coalesce(min(setting) filter (not passed), {SETTINGS}) as settings from judged group by place),
+limits as (select stratum, {cuts} from placed join certified using (place))
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
   n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
   (not base_failed and not ({over})) as kept

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import pulsegrid
@@ -99,3 +99,16 @@ def without_keys(rows: DataFrame, key: str, gone: DataFrame, bits: int = 1 << 22
     marked = _maybe(rows, key, gone, bits)
     doubtful = marked.filter("maybe").join(gone.select(F.col(key).alias("key")), "key", "left_anti")
     return marked.filter(~F.col("maybe")).select("row.*").unionByName(doubtful.select("row.*"))
+
+
+def split_join(rows: DataFrame, single: DataFrame, key: str, hot: DataFrame, spread: Column, parts: int = 64, bits: int = 1 << 22) -> DataFrame:
+    """Inner join of ``rows`` with ``single``, which has one row for each key, where some keys have very many rows.
+
+    ``hot`` names those keys. Rows that may be of such a key, as a bitmap of fixed size tells, are dealt to ``parts`` by
+    ``spread`` and find a copy of the key's single row in each part; all others are joined as usual.
+    """
+    many, one = _maybe(rows, key, hot, bits), _maybe(single, key, hot, bits)
+    usual = many.filter(~F.col("maybe")).select("row.*").join(one.filter(~F.col("maybe")).select("row.*"), key)
+    dealt = many.filter("maybe").select("row.*").withColumn("part", F.pmod(F.xxhash64(spread), F.lit(parts)))
+    copies = one.filter("maybe").select("row.*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
+    return usual.unionByName(dealt.join(copies, [key, "part"]).drop("part"))

@@ -28,10 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.llm.shared import _maybe, kept, near_members, ship
+from pulsegrid.llm.shared import _maybe, kept, near_members, ship, split_join
 from pulsegrid.llm.words import Words, mix, pieces, powers, signed, unsigned, windows, words_of
 
 WIDTH, GRAM, MEAN = 50, 8, 64
+#: Places of a window from which on they are dealt to several tasks.
+HOT = 2048
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -176,8 +178,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     near = near_members(texts, "doc_id", asked.select("doc_id")).join(asked, ["doc_id", "row_key"])
     found = kept(near.select("doc_id", "row_key", "text", "asked").mapInArrow(
         _looked_up, "window long, doc_id long, row_key long, begin int").distinct(), "repeats-windows")
-    first = found.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("window", "least")
-    single = found.join(first, "window").filter("doc_id > least").select("doc_id", "row_key", "begin", (F.col("begin") + 1).alias("end"))
+    first = kept(found.groupBy("window").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("places")).filter("least < most"), "repeats-first")
+    hot = first.filter(F.col("places") > HOT).select("window")
+    joined = split_join(found, first.select("window", "least"), "window", hot, F.struct("doc_id", "begin"))
+    single = joined.filter("doc_id > least").select("doc_id", "row_key", "begin", (F.col("begin") + 1).alias("end"))
     return parsed.filter("factor").select("doc_id", "row_key", "begin", "end").unionByName(single).distinct()
 
 

@@ -127,6 +127,26 @@ def test_substring_dedup(docs, texts, none) -> None:
     assert substrings.without_repeats(none).count() == 0
 
 
+def test_hot_keys_join_like_others(spark) -> None:
+    from pulsegrid.llm.shared import split_join
+    rows = spark.range(6000).select((F.when(F.col("id") < 4000, 7).otherwise(F.col("id") % 90)).alias("key"), F.col("id").alias("row"))
+    single = spark.range(0, 80, 3).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value")).unionByName(spark.createDataFrame([(7, 14)], "key long, value long"))
+    want = sorted(map(tuple, rows.join(single, "key").select("key", "row", "value").collect()))
+    for hot in ([7], [], [7, 9, 1000]):
+        keys = spark.createDataFrame([(k,) for k in hot], "key long")
+        for bits in (64, 1 << 22):
+            got = split_join(rows, single, "key", keys, F.col("row"), 8, bits)
+            assert sorted(map(tuple, got.select("key", "row", "value").collect())) == want
+
+
+def test_substring_dedup_with_hot_windows(spark, monkeypatch) -> None:
+    monkeypatch.setattr(substrings, "HOT", 2)
+    common, other = prose(55), prose(60)
+    rows = [(i, f"{prose(i % 7)} {common} {prose(3)} {common if i % 3 else other}") for i in range(40)]
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(map(tuple, got.select("row.doc_id", "n_words", "n_removed", "kept_text").collect())) == sorted(without(rows))
+
+
 def test_shortened_texts_keep_their_white_space_and_odd_columns(spark) -> None:
     passage = prose(70)
     rows = [(1, "a\n\nb  c"), (2, passage), (3, f" one\n\ntwo  {passage}\n\nthree\tfour\n"), (4, f"{passage}  end\n"), (5, f"x\n{passage} \n"), (6, None), (None, "n\nm")]

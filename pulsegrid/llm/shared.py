@@ -105,10 +105,10 @@ def split_join(rows: DataFrame, single: DataFrame, key: str, hot: DataFrame, spr
     """Inner join of ``rows`` with ``single``, which has one row for each key, where some keys have very many rows.
 
     ``hot`` names those keys. Rows that may be of such a key, as a bitmap of fixed size tells, are dealt to ``parts`` by
-    ``spread`` and find a copy of the key's single row in each part; all others are joined as usual.
+    ``spread``, and the key's single row is copied to each part; all others are in the first part. It is one join for all.
     """
     many, one = _maybe(rows, key, hot, bits), _maybe(single, key, hot, bits)
-    usual = many.filter(~F.col("maybe")).select("row.*").join(one.filter(~F.col("maybe")).select("row.*"), key)
-    dealt = many.filter("maybe").select("row.*").withColumn("part", F.pmod(F.xxhash64(spread), F.lit(parts)))
-    copies = one.filter("maybe").select("row.*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
-    return usual.unionByName(dealt.join(copies, [key, "part"]).drop("part"))
+    first, last = F.lit(0).cast("long"), F.lit(parts - 1).cast("long")
+    dealt = many.select("row.*", "maybe").withColumn("part", F.when(F.col("maybe"), F.pmod(F.xxhash64(spread), F.lit(parts))).otherwise(first)).drop("maybe")
+    copies = one.select("row.*", F.explode(F.when(F.col("maybe"), F.sequence(first, last)).otherwise(F.array(first))).alias("part"))
+    return dealt.join(copies, [key, "part"]).drop("part")

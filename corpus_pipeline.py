@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns of
 ``documents``.
+
+Defined cases are those of the operators: documents without text fail the quality rules; rows without doc_id are kept by all
+later stages as they are; repeated rows are judged alike; an empty table passes through as one.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 or more words that a smaller document holds go; the words that stay are joined by one space."""
+    """Passages of 50 or more words that a smaller document holds go; what stays keeps its white space."""
     return substrings.shortened(docs)
 
 

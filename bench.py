@@ -23,7 +23,8 @@ HEADLINE = [
     "traffic_approx", "pollution_json_roundtrip", "xml_emissions", "grid_to_wgs84", "pollution_map_layer",
     "traffic_map_layer", "residual_hist", "prob_hist", "longest_case_trace", "hash_split", "capped_sample",
     "budget_sample", "greedy_budget_sample", "residual_density", "time_norm_per_case", "landing_stream",
-    "stream_pollution_update", "stream_pollution_final", "stream_traffic", "rf_reg",
+    "stream_pollution_update", "stream_pollution_final", "stream_traffic", "rf_reg", "auc_scales",
+    "traffic_approx_sliding", "stream_compacted", "stream_map_layer", "xml_rejects",
 ]
 
 

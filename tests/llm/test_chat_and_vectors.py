@@ -78,7 +78,8 @@ def vectors(spark):
     crowd = generator.standard_normal(32)
     rows += [(2000 + i, (crowd + generator.standard_normal(32) * 0.08).tolist(), 1) for i in range(700)]
     rows += [(5000, rows[0][1], 0), (5001, rows[0][1], 2), (5002, rows[0][1], None), (5003, None, 1), (5004, [], 1), (5005, [0.0] * 32, 1), (5006, [0.0] * 32, 1),
-             (5007, [float("nan")] * 32, 1), (5008, [None] + [1.0] * 31, 1), (5009, rows[0][1][:31], 0), (None, rows[0][1], 0), (0, rows[0][1], 0)]
+             (5007, [float("nan")] * 32, 1), (5008, [None] + [1.0] * 31, 1), (5009, rows[0][1][:31], 0), (None, rows[0][1], 0), (0, rows[0][1], 0),
+             (6001, crowd.tolist(), 0), (6001, crowd.tolist(), 1)]
     return rows
 
 
@@ -99,9 +100,39 @@ def test_vector_links(spark, vectors) -> None:
         assert (ones[i].n_links, ones[i].component_id, ones[i].kept) == (0, i, True)
     assert ones[5000].component_id == 0 and not ones[5000].kept and ones[None].component_id is None
     assert {ones[2000 + i].component_id for i in range(700)} == {2000}
+    # One vec_id under two labels: each row has the links of its own label.
+    twice = sorted(r.n_links for r in got if r.vec_id == 6001)
+    near = sum(len(reach[n]) for n, i, _, lab in able if i == 6001 and lab == 1)
+    assert twice[0] == 0 and 0.98 * near <= twice[1] <= near
     assert near_vectors.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_collisions_count_windows_of_every_group() -> None:
+    pick = np.random.default_rng(8)
+    group = np.sort(pick.integers(0, 6, 90))
+    sketch = pick.integers(-4000, 4001, (90, 7)).astype(np.int64)
+    sketch[:5], sketch[-5:] = 32767, -32767
+    left, right = pick.random(90) < 0.6, pick.random(90) < 0.6
+    reach = int(np.ceil(near_vectors.WINDOW * near_vectors.SIGMA * near_vectors.STEPS)) + 1
+    for least in (1, 3, 7):
+        x, y = near_vectors.collisions(sketch, group, left, right, least)
+        want = {(a, b) for a in np.flatnonzero(left) for b in np.flatnonzero(right)
+                if group[a] == group[b] and (abs(sketch[a] - sketch[b]) <= reach).sum() >= least}
+        assert len(x) == len(want) and set(zip(x.tolist(), y.tolist(), strict=True)) == want
+
+
+def test_roots_are_the_smallest_connected_nodes() -> None:
+    pick = np.random.default_rng(9)
+    for n, m in ((1, 0), (50, 20), (300, 260), (400, 399)):
+        x, y = pick.integers(0, n, (2, m)) if m != 399 else (np.arange(399), np.arange(1, 400))
+        got = near_vectors._roots(x, y, n)
+        root = list(range(n))
+        for _ in range(n):
+            for a, b in zip(x, y, strict=True):
+                root[a] = root[b] = min(root[a], root[b])
+        assert got.tolist() == root
+
+
 def test_table_layout_grows_slowly() -> None:
     assert near_vectors.layout(2)[0] == 1
     g, tables = near_vectors.layout(10**9)

@@ -16,8 +16,8 @@ order is exact). Linked documents share at least one cell. Within a cell of diff
    contracted again;
 3. the same search, now with every pair in different components that passes the bound.
 
-All comparisons are exact. A pair in one component needs none, so groups of copies stay linear. Hot neighbourhoods are dealt to blocks of at most
-``BLOCK`` points on either side. Equal sets are one point from the start.
+All comparisons are exact. A pair in one component needs none, so groups of copies stay linear. Hot neighbourhoods are
+split by member and dealt to blocks of at most ``BLOCK`` points on either side, so no task gets a whole one. Equal sets are one point from the start.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component; with fewer than five
 words the whole sequence is the only shingle; rows without doc_id link with nothing and have a null component; repeated
@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.shared import components, kept, near_members, ship, without_keys
+from pulsegrid.llm.shared import components, kept, near_members, ship, split_join, without_keys
 from pulsegrid.llm.words import mix, pieces, shingle_sets, signed, words_of
 
 WIDTH, PERCENT = 5, 80
 GROUPS, FULL = 256, 255
 RARITY_BITS, SLICES = 18, 16
 BLOCK, LEAF = 512, 16
+#: Neighbourhoods above so many members are dealt to several tasks before they are cut into blocks.
+HOT = 512
 POINT_SCHEMA = "doc_id long, n long, k1 long, k2 long, point binary, slice int, tally binary"
 
 
@@ -218,7 +220,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long")
 
 
-def _unfinished(near: DataFrame, labels: DataFrame) -> DataFrame:
+def _unfinished(near: DataFrame, labels: DataFrame, hot: DataFrame) -> DataFrame:
     """Rows (pivot, i, j, asks, k1, late, n, label, point) of neighbourhoods that hold several components, dealt to bounded blocks."""
     rows = near.join(labels, "k1")
     tallies = rows.groupBy("pivot", "label").agg(F.count("*").alias("c"))
@@ -227,7 +229,7 @@ def _unfinished(near: DataFrame, labels: DataFrame) -> DataFrame:
     mixed = mixed.select(
         "pivot", F.col("main.label").alias("main"), F.ceil(F.col("members") / BLOCK).cast("int").alias("answers"),
         F.ceil((F.col("members") - F.col("main.c")) / BLOCK).cast("int").alias("askers"))
-    dealt = rows.join(mixed, "pivot").withColumns({
+    dealt = split_join(rows, mixed, "pivot", hot, F.col("k1")).withColumns({
         "own_i": F.pmod(F.xxhash64("k1"), F.col("askers")).cast("int"), "own_j": F.pmod(F.xxhash64("k1", F.lit(1)), F.col("answers")).cast("int")})
     columns = ["pivot", "k1", "late", "n", "label", "point"]
     asks = dealt.filter("label <> main").select(
@@ -257,6 +259,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     near = kept(tokens.join(shared.select("token", "pivot"), "token").groupBy("pivot", F.expr("entry & -2L").alias("k1")).agg(
         F.count("*").alias("cells"), F.min(F.expr("entry & 1L") == 1).alias("late")), "jaccard-near")
 
+    hot = kept(near.groupBy("pivot").count().filter(F.col("count") > HOT).select("pivot"), "jaccard-hot")
     wanted = near.select("k1").distinct().join(reps, "k1").select("k1", "rep")
     texts = kept(near_members(docs, "doc_id", wanted.select(F.col("rep").alias("doc_id"))).join(
         wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("k1", F.col("doc_id").alias("rep"), "text"), "jaccard-texts")
@@ -270,7 +273,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     for nearest in (True, False):
         labels = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
             "k1", "n", "point", F.coalesce("root", "rep").alias("label"))
-        blocks = _unfinished(near, labels).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+        blocks = _unfinished(near, labels, hot).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
         found = blocks.mapInArrow(_searched(nearest), "a long, b long, score long")
         if nearest:
             pairs = found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best")).select("a", F.col("best.b").alias("b"))

@@ -66,7 +66,9 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def test_jaccard_components(docs, texts, none) -> None:
+@pytest.mark.parametrize("hot", [jaccard.HOT, 1])
+def test_jaccard_components(docs, texts, none, monkeypatch, hot) -> None:
+    monkeypatch.setattr(jaccard, "HOT", hot)
     points = [(i, shingles(t)) for i, t in texts]
     root = {i: i for i, _ in points if i is not None}
 

@@ -3,7 +3,9 @@
 1. Terms. A bounded sample of labelled rows (``FIT_ROWS``, by digest of doc_id) tells which words and word beginnings go
    with toxic texts; the ``TERMS`` strongest are dealt to lexicons by rank.
 2. Votes. ``LEXICONS`` lexicon voters and four pattern voters look at every whole text; a document's votes are 16 bits, so
-   all documents together have at most 65,536 different patterns.
+   all documents together have at most 65,536 different patterns. The pattern voters read the text, not the lexicons: a
+   letter three times in a row; two or more words of four capitals or more; two or more ``!`` or ``?`` in a row; letters
+   joined by marks that stand for others, as in ``a**b``.
 3. Label model. The patterns' counts over all documents fit P(y), P(vote | parent vote, y) along the tree of largest
    conditional mutual information, by expectation maximization: the accuracies of the voters and the correlations between
    them. Labelled rows of the sample start it and stay clamped.
@@ -45,19 +47,25 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(0x80, 0x100)]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A"):ord("Z") + 1] += np.uint64(32)
+_CAPITAL, _PLAIN, _MASK, _LOUD = (np.isin(np.arange(256), list(kind)) for kind in (
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"*@#$%", b"!?"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _terms(text: pa.Scalar) -> tuple[np.ndarray, int]:
-    """Hashes of the runs of letters, lower-cased, and of their beginnings; and the number of runs."""
+def _runs(text: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a text and the bounds of its runs of letters."""
     data = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid and len(text.as_buffer()) else np.zeros(0, np.uint8)
     letter = np.concatenate(([False], _LETTER[data], [False]))
-    starts, ends = np.flatnonzero(letter[1:] & ~letter[:-1]), np.flatnonzero(letter[:-1] & ~letter[1:])
+    return data, np.flatnonzero(letter[1:] & ~letter[:-1]), np.flatnonzero(letter[:-1] & ~letter[1:])
+
+
+def _terms(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of letters, lower-cased, and of their beginnings."""
     if not len(starts):
-        return np.zeros(0, np.uint64), 0
+        return np.zeros(0, np.uint64)
     up, down = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER[data] + np.uint64(1)) * up[:len(data)], out=sums[1:])
@@ -66,7 +74,22 @@ def _terms(text: pa.Scalar) -> tuple[np.ndarray, int]:
         long = starts[ends - starts > k]
         own, times = np.unique(mix((sums[long + k] - sums[long]) * down[long] + _SALTS[k]), return_counts=True)
         found += [own, mix(own[times >= 2] + _SALTS[0])]
-    return np.concatenate(found), len(starts)
+    return np.concatenate(found)
+
+
+def _patterns(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bool, bool, bool, bool]:
+    """Votes of the pattern voters: repeated letters, capitals, loud marks, masked letters."""
+    low, loud = _LOWER[data], _LOUD[data]
+    repeats = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & _PLAIN[low[2:]]
+    shouted = (ends - starts >= 4) & _all(_CAPITAL[data], starts, ends)
+    return (bool(repeats.any()), int(shouted.sum()) >= 2, bool((loud[1:] & loud[:-1]).any()),
+            bool(_all(_MASK[data], ends[:-1], starts[1:]).any()))
+
+
+def _all(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of the ranges have every flag set."""
+    sums = np.concatenate(([0], np.cumsum(flags)))
+    return sums[ends] - sums[starts] == ends - starts
 
 
 def _term_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,35 +97,34 @@ def _term_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: tuple[Counter, Counter] = Counter(), Counter()
     for batch in batches:
         for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
-            counts[toxic].update(np.unique(_terms(text)[0]).tolist())
+            counts[toxic].update(np.unique(_terms(*_runs(text))).tolist())
     terms = np.array(list(counts[0].keys() | counts[1].keys()), np.uint64)
     yield pa.RecordBatch.from_arrays([pa.array(signed(terms)), pa.array([counts[1][t] for t in terms.tolist()], pa.int64()),
                                       pa.array([counts[0][t] for t in terms.tolist()], pa.int64())], names=["term", "toxic", "clean"])
 
 
 def _votes(lexicon: list[int]) -> callable:
-    """Rows (doc_id, held_out, votes, hits, runs): hits are the ranks of the terms in the text."""
+    """Rows (doc_id, held_out, votes, hits): hits are the ranks of the terms in the text."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = np.array(lexicon, np.int64).view(np.uint64)
         order = np.argsort(terms)
         ordered = terms[order]
         for piece in pieces(batches):
-            votes, hits, runs = [], [], []
+            votes, hits = [], []
             for text in piece.column("text"):
-                own, n = _terms(text)
+                runs = _runs(text)
+                own = _terms(*runs)
                 at = np.searchsorted(ordered, own)
                 at[at == len(ordered)] = 0
-                rank = order[at[ordered[at] == own]] if len(ordered) else np.zeros(0, np.int64)
-                kinds = np.unique(rank)
+                kinds = np.unique(order[at[ordered[at] == own]]) if len(ordered) else np.zeros(0, np.int64)
                 bits = np.zeros(VOTERS, bool)
                 bits[kinds % LEXICONS] = True
-                bits[LEXICONS:] = len(kinds) >= 2, 500 * len(rank) >= n > 0, len(rank) > len(kinds), bool((kinds < LEXICONS).any())
+                bits[LEXICONS:] = _patterns(*runs)
                 votes.append(int((1 << np.flatnonzero(bits)).sum()))
                 hits.append(kinds.tolist())
-                runs.append(n)
             yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id"), piece.column("held_out"), pa.array(votes, pa.int32()), pa.array(hits, pa.list_(pa.int32())),
-                pa.array(runs, pa.int64())], names=["doc_id", "held_out", "votes", "hits", "runs"])
+                piece.column("doc_id"), piece.column("held_out"), pa.array(votes, pa.int32()), pa.array(hits, pa.list_(pa.int32()))],
+                names=["doc_id", "held_out", "votes", "hits"])
     return run
 
 
@@ -188,7 +210,7 @@ def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Data
         share = n1 / (n1 + n0) if n1 + n0 else 0.0
         return docs.select("doc_id", held_out().alias("held_out"), F.lit(share).alias("score"), F.lit(int(share >= THRESHOLD)).alias("predicted"))
     rows = kept(docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
-        _votes(lexicon), "doc_id long, held_out boolean, votes int, hits array<int>, runs long"), "toxicity-votes")
+        _votes(lexicon), "doc_id long, held_out boolean, votes int, hits array<int>"), "toxicity-votes")
     fit = kept(rows.join(F.broadcast(sample), "doc_id"), "toxicity-fit")
     every = {row.votes: row["count"] for row in rows.groupBy("votes").count().collect()}
     known = {(row.votes, row.toxic): row["count"] for row in fit.groupBy("votes", "toxic").count().collect()}

@@ -261,6 +261,91 @@ def test_toxicity_on_held_out_rows(spark) -> None:
     assert toxicity.scored(frame.limit(0), labels).count() == 0
 
 
+def test_votes_match_a_plain_reading_of_the_text() -> None:
+    import pyarrow as pa
+    words = ["grob", "vex", "ünik", "mud", "zek"]
+    lexicon = [int(toxicity.signed(toxicity._terms(*toxicity._runs(pa.scalar(w)))[:1])[0]) for w in words]
+    letter = rb"[A-Za-z\x80-\xff]"
+
+    def votes(text: str | None) -> int:
+        data = (text or "").encode()
+        own = {w.lower() for w in re.findall(letter + rb"+", data)}
+        bits = sum(1 << i % toxicity.LEXICONS for i, w in enumerate(words) if w.encode() in own)
+        shouted = [w for w in re.findall(letter + rb"+", data) if re.fullmatch(rb"[A-Z]{4,}", w)]
+        found = (re.search(rb"([a-z])\1\1", data.lower()), len(shouted) >= 2, re.search(rb"[!?]{2,}", data),
+                 re.search(letter + rb"[*@#$%]+" + letter, data))
+        return bits | sum(bool(x) << toxicity.LEXICONS + j for j, x in enumerate(found))
+
+    pick = random.Random(7)
+    parts = [*words, "GROB", "SHOUT", "LOUD", "LOUDé", "sooo", "AaA", "AAB", "f**l", "a*", "*b", "1*b", "x@y", "!", "?!", "!!", "! !", "\n", "é", "aa", "", "漢字漢"]
+    texts = [None, "", "!", "a", "aaa", "éé", "grob", "f*k", *["".join(pick.choice(parts) + pick.choice(["", " ", " ", "\n"]) for _ in range(pick.randint(1, 9))) for _ in range(1500)]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([False] * len(texts)), pa.array(texts, pa.string())], names=["doc_id", "held_out", "text"])
+    got = [v for b in toxicity._votes(lexicon)([batch]) for v in b.column("votes").to_pylist()]
+    want = [votes(t) for t in texts]
+    assert got == want
+    assert all(0.02 < sum(v >> j & 1 for v in want) / len(want) < 0.9 for j in (*range(len(words)), *range(toxicity.LEXICONS, toxicity.VOTERS)))
+
+
+def test_label_model_follows_plain_expectation_maximization(monkeypatch) -> None:
+    """The posterior of each pattern against sums over single documents and the best of all spanning trees."""
+    import itertools
+    import math
+
+    import numpy as np
+    k, rounds = 4, 6
+    monkeypatch.setattr(toxicity, "VOTERS", k)
+    monkeypatch.setattr(toxicity, "ROUNDS", rounds)
+    pick = random.Random(9)
+    docs = []
+    for i in range(500):
+        y = pick.random() < 0.35
+        v = [int(pick.random() < (0.75 if y else 0.1 + 0.08 * j)) for j in range(k)]
+        v[2] = v[0] if pick.random() < 0.8 else v[2]
+        docs.append((tuple(v), int(y) if i < 90 else None))
+
+    def normal(a: float, b: float) -> tuple[float, float]:
+        return a / (a + b), b / (a + b)
+
+    n = [sum(label == y for _, label in docs) for y in (0, 1)]
+    ones = [[(sum(v[j] for v, label in docs if label == y) + 0.5) / (n[y] + 1) for j in range(k)] for y in (0, 1)]
+    prior = [(n[y] + 1) / (sum(n) + 2) for y in (0, 1)]
+    belief = {v: normal(*(prior[y] * math.prod(p if b else 1 - p for p, b in zip(ones[y], v, strict=True)) for y in (0, 1))) for v, _ in docs}
+    for _ in range(rounds):
+        weight = [(v, (1 - label, label) if label is not None else belief[v]) for v, label in docs]
+        mass = [sum(w[y] for _, w in weight) for y in (0, 1)]
+        prior = [(mass[y] + 1) / (sum(mass) + 2) for y in (0, 1)]
+        pair = {(y, i, j, a, b): (sum(w[y] for v, w in weight if v[i] == a and v[j] == b) + 0.25) / (mass[y] + 1)
+                for y in (0, 1) for i in range(k) for j in range(k) for a in (0, 1) for b in (0, 1)}
+        one = {(y, j, a): pair[y, j, j, a, 0] + pair[y, j, j, a, 1] for y in (0, 1) for j in range(k) for a in (0, 1)}
+
+        def shared(i: int, j: int) -> float:
+            return sum(prior[y] * pair[y, i, j, a, b] * math.log(pair[y, i, j, a, b] / one[y, i, a] / one[y, j, b])
+                       for y in (0, 1) for a in (0, 1) for b in (0, 1))
+
+        # Every way to hang voters 1, 2, ... below others: parents without a cycle, voter 0 as the root.
+        def reaches_root(parents: tuple[int, ...], j: int) -> bool:
+            for _ in range(k):
+                j = parents[j - 1] if j else 0
+            return j == 0
+
+        best = max((p for p in itertools.product(range(k), repeat=k - 1) if all(reaches_root(p, j) for j in range(1, k))),
+                   key=lambda p: sum(shared(q, j + 1) for j, q in enumerate(p)))
+        for v in belief:
+            chance = []
+            for y in (0, 1):
+                x = prior[y] * one[y, 0, v[0]]
+                for j, q in enumerate(best, 1):
+                    x *= pair[y, q, j, v[q], v[j]] / (pair[y, q, j, v[q], 0] + pair[y, q, j, v[q], 1])
+                chance.append(x)
+            belief[v] = normal(*chance)
+
+    seen = sorted(belief)
+    patterns = np.array([sum(b << j for j, b in enumerate(v)) for v in seen])
+    clamped = np.array([[sum(d == (v, y) for d in docs) for v in seen] for y in (0, 1)], float)
+    counts = np.array([sum(d == (v, None) for d in docs) for v in seen], float)
+    assert np.allclose(toxicity.label_model(patterns, counts, clamped), [belief[v][1] for v in seen], atol=1e-9)
+
+
 def test_label_model_weighs_correlated_voters_once() -> None:
     import numpy as np
     generator = np.random.default_rng(5)

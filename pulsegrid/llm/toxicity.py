@@ -47,8 +47,8 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(0x80, 0x100)]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A"):ord("Z") + 1] += np.uint64(32)
-_CAPITAL, _PLAIN, _MASK, _LOUD = (np.isin(np.arange(256), list(kind)) for kind in (
-    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"*@#$%", b"!?"))
+_CAPITAL, _PLAIN, _MASK = (np.isin(np.arange(256), list(kind)) for kind in (
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"*@#$%"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -79,11 +79,16 @@ def _terms(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 
 def _patterns(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bool, bool, bool, bool]:
     """Votes of the pattern voters: repeated letters, capitals, loud marks, masked letters."""
-    low, loud = _LOWER[data], _LOUD[data]
-    repeats = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & _PLAIN[low[2:]]
-    shouted = (ends - starts >= 4) & _all(_CAPITAL[data], starts, ends)
-    return (bool(repeats.any()), int(shouted.sum()) >= 2, bool((loud[1:] & loud[:-1]).any()),
-            bool(_all(_MASK[data], ends[:-1], starts[1:]).any()))
+    # Bit 5 set makes ASCII letters small, and nothing else becomes one.
+    low, loud = data | 0x20, (data == ord("!")) | (data == ord("?"))
+    same = low[1:] == low[:-1]
+    repeats = _PLAIN[low[np.flatnonzero(same[1:] & same[:-1])]]
+    caps = np.flatnonzero(ends - starts >= 4)
+    caps = caps[_CAPITAL[data[starts[caps]]] & _CAPITAL[data[ends[caps] - 1]]]
+    masked = np.flatnonzero(_MASK[data[ends[:-1]]])
+    return (bool(repeats.any()), len(caps) >= 2 and int(_all(_CAPITAL[data], starts[caps], ends[caps]).sum()) >= 2,
+            bool((loud[1:] & loud[:-1]).any()),
+            len(masked) > 0 and bool(_all(_MASK[data], ends[masked], starts[masked + 1]).any()))
 
 
 def _all(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -122,3 +122,13 @@ def test_ranges_are_even_whatever_the_scale_of_scores(spark):
     edges = ev.in_ranges(rows, ["model", "score"], 16).groupBy("model", "_range").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
     found = sorted((r.model, r._range, r.lo, r.hi) for r in edges.collect())
     assert all(a[3] < b[2] for a, b in zip(found, found[1:]) if a[0] == b[0])
+
+
+def test_segments_do_not_multiply_ranked_rows(spark, monkeypatch):
+    seen, dealt = [], ev.in_ranges
+    monkeypatch.setattr(ev, "in_ranges", lambda df, *more: seen.append((df, dealt(df, *more))) or seen[-1][1])
+    df = predictions(spark)
+    ev.classification_metrics(df, conditions=ev.segments(), prediction="said")
+    (counted, ranges), = seen
+    assert counted.count() <= df.count()
+    assert ranges.select("_range").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -114,7 +114,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: list[str]) -> DataFrame:
     """Counts of all bins between the extremes of each group, empty ones too; the last bin is closed."""
     df = df.select(*by, value)
     extremes = df.groupBy(*by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    placed = join_grouped(df, extremes, by, "inner")
+    placed = join_grouped(df, extremes, by, "inner", few=True)
     number = F.coalesce(F.width_bucket(F.col(value), F.col("lo"), F.col("hi"), F.lit(bins)), F.lit(1))
     width = (F.col("hi") - F.col("lo")) / bins
     counted = placed.groupBy(*by, "lo", "hi", F.least(number, F.lit(bins)).cast("int").alias("bin")).agg(
@@ -144,7 +144,7 @@ def density_curve(df: DataFrame, value: str, by: str, bins: int = RESIDUAL_BINS,
         F.count(value).alias("_n"), F.stddev(value).alias("_sd"), F.min(value).alias("_lo"), F.max(value).alias("_hi"),
     ).filter(F.col("_sd") > 0)
     stats = stats.withColumn("_h", F.col("_sd") * F.pow("_n", F.lit(-0.2)))
-    placed = join_grouped(df.select(by, value).dropna(), stats, [by], "inner")
+    placed = join_grouped(df.select(by, value).dropna(), stats, [by], "inner", few=True)
     span = F.col("_hi") - F.col("_lo")
     fine = F.least(F.floor((F.col(value) - F.col("_lo")) / span * DENSITY_BINS), F.lit(DENSITY_BINS - 1))
     binned = placed.groupBy(by, "_lo", "_hi", "_h", fine.alias("_bin")).agg(

@@ -112,3 +112,16 @@ def test_metric_tables(spark):
 def test_probability_text(spark):
     df = spark.createDataFrame([("[0.25,0.75]",), ("[[0.5,0.5]]",), ("[0.5]",), ("[a,b]",), (None,)], "t string")
     assert [r[0] for r in df.select(reports.positive_probability(F.col("t"))).collect()] == [0.75, 0.5, None, None, None]
+
+
+@pytest.mark.parametrize("table", [
+    lambda df: reports.residual_histogram(df, ["m1", "m2"]), lambda df: reports.probability_histogram(df, ["m1"]),
+    lambda df: reports.density_curve(reports.residuals(df, ["m1", "m2"]), "residual", "model")])
+def test_rows_are_not_shuffled_to_their_model(spark, predictions, table):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = table(predictions[0])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

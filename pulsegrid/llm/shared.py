@@ -81,6 +81,8 @@ def _maybe(rows: DataFrame, key: str, wanted: DataFrame, bits: int) -> DataFrame
     slot = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(bits))
     bitmap = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("marks"))
+    # A word of no slot, so that the bitmap is never empty and the plan is the same whether or not any key is wanted.
+    bitmap = bitmap.unionByName(rows.sparkSession.range(1).select(F.lit(-1).cast("long").alias("word"), F.lit(0).cast("long").alias("marks")))
     marked = rows.select(F.struct("*").alias("row"), F.col(key).alias("key"), slot.alias("slot")).withColumn("word", F.shiftright("slot", 6))
     return marked.join(F.broadcast(bitmap), "word", "left").select("row", "key", F.expr(
         "coalesce((shiftrightunsigned(marks, cast(slot & 63 as int)) & 1) = 1, false)").alias("maybe"))

@@ -537,3 +537,16 @@ def test_int_ids_find_equal_long_ids(spark) -> None:
     passage = prose(70)
     texts = spark.createDataFrame([(1, passage), (2, "one two " + passage)], "doc_id int, text string")
     assert {r.doc_id: r.text for r in substrings.shortened(texts).collect()} == {1: passage, 2: "one two"}
+
+
+def test_bitmap_join_is_there_when_no_key_is_wanted(spark):
+    from pulsegrid.llm.shared import _maybe
+
+    rows = spark.range(100).select(F.col("id").alias("key"))
+    for wanted, hits in ((rows.filter("key < 0"), 0), (rows.filter("key < 10"), 10)):
+        marked = _maybe(rows, "key", wanted, 1 << 22)
+        found = marked.collect()
+        assert len(found) == 100 and hits <= sum(r.maybe for r in found) < 30
+        marked = marked.select("maybe")
+        marked.collect()
+        assert "Join" in marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]

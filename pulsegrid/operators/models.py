@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import time
+from collections import Counter
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +41,9 @@ SEED = 11
 FOLDS = 3
 PARALLELISM = 2
 FOLD = "_fold"
+ROWS, WEIGHT = "_rows", "_weight"
+# The rows a bootstrap draws at least, one by one: only tables with more are drawn in units of several equal rows.
+DRAWS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -55,8 +62,8 @@ class ModelSpec:
 
     def evaluator(self):
         if self.classifies:
-            return BinaryClassificationEvaluator(labelCol=self.label, metricName="areaUnderROC")
-        return RegressionEvaluator(labelCol=self.label, metricName="rmse")
+            return BinaryClassificationEvaluator(labelCol=self.label, metricName="areaUnderROC", weightCol=WEIGHT)
+        return RegressionEvaluator(labelCol=self.label, metricName="rmse", weightCol=WEIGHT)
 
 
 MODELS = {
@@ -78,14 +85,82 @@ def usable_features(df: DataFrame, features: list[str]) -> tuple[list[str], list
     return usable, [f for f in features if f not in usable]
 
 
-def preparation(features: list[str]) -> list:
-    """Median imputation, assembly and scaling to unit deviation."""
-    imputed = [f"{f}_imp" for f in features]
-    return [
-        Imputer(inputCols=features, outputCols=imputed, strategy="median"),
-        VectorAssembler(inputCols=imputed, outputCol="raw_features", handleInvalid="skip"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=False),
-    ]
+def bin_edges(rows: DataFrame, features: list[str], bins: int) -> dict[str, list[float]]:
+    """Inner bounds of at most ``bins`` ranges of each feature, from all rows, in two aggregate rows.
+
+    A feature with few values has a bound between any two of them, others at their quantiles; a value that fills several
+    quantiles gets a range of its own.
+    """
+    number = {f: F.nanvl(F.col(f).cast("double"), F.lit(None)) for f in features}
+    distinct = rows.agg(*[F.approx_count_distinct(number[f]).alias(f) for f in features]).first()
+    # The count is off by a few percent, so sets stay small.
+    few = [f for f in features if distinct[f] <= 1.25 * bins]
+    shares = [i / bins for i in range(1, bins)]
+    found = rows.agg(
+        *[F.percentile_approx(number[f], shares).alias(f) for f in features],
+        *[F.collect_set(number[f]).alias(f"{f}_values") for f in few],
+    ).first()
+    edges = {}
+    for f in features:
+        values = sorted(found[f"{f}_values"]) if f in few else []
+        if 0 < len(values) <= bins:
+            edges[f] = sorted({_between(a, b) for a, b in zip(values, values[1:])})
+        else:
+            quantiles = Counter(found[f] or [])
+            edges[f] = sorted({*quantiles, *[math.nextafter(q, math.inf) for q, n in quantiles.items() if n > 1]} - {-math.inf, math.inf})
+    return edges
+
+
+def _between(low: float, high: float) -> float:
+    """A bound above ``low`` and at most ``high``; infinite values keep a finite one."""
+    low, high = max(low, -1.7e308), min(high, 1.7e308)
+    return max(low + (high - low) / 2 if high - low < math.inf else 0.0, math.nextafter(low, math.inf))
+
+
+def binning(edges: dict[str, list[float]]) -> Bucketizer:
+    """The range of each feature by number: NaN has the number behind the last one, null stays null."""
+    splits = [[-math.inf, *(bounds or [0.0]), math.inf] for bounds in edges.values()]
+    return Bucketizer(inputCols=list(edges), outputCols=[f"{f}_bin" for f in edges], splitsArray=splits, handleInvalid="keep")
+
+
+def _missing(edges: dict[str, list[float]]) -> dict[str, int]:
+    return {f: len(bounds or [0.0]) + 1 for f, bounds in edges.items()}
+
+
+def preparation(cells: DataFrame, edges: dict[str, list[float]]) -> PipelineModel:
+    """Median imputation and assembly of binned features: a missing value gets the range that holds the median of ``cells``."""
+    held = {f: F.when(F.col(f"{f}_bin") < n, F.col(f"{f}_bin")) for f, n in _missing(edges).items()}
+    medians = cells.agg(*[F.coalesce(F.floor(F.percentile(c, 0.5, F.col(ROWS))), F.lit(0)).alias(f) for f, c in held.items()]).first()
+    filled = ", ".join(f"CASE WHEN `{f}_bin` < {n} THEN `{f}_bin` ELSE {medians[f]} END AS `{f}_imp`" for f, n in _missing(edges).items())
+    return PipelineModel([
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"{f}_imp" for f in edges], outputCol="features"),
+    ])
+
+
+def equal_rows(rows: DataFrame, edges: dict[str, list[float]], label: str, single: bool = False) -> DataFrame:
+    """Rows that no tree can tell apart as one: ranges of the features, label, fold and the number of rows.
+
+    With ``single`` every row stays one of its own.
+    """
+    keys = [*[f"{f}_bin" for f in edges], label, FOLD]
+    ranges = [F.col(k).cast("short").alias(k) for k in keys[:-2]]
+    binned = binning(edges).transform(rows).select(*ranges, label, FOLD)
+    if single:
+        return binned.withColumn(ROWS, F.lit(1).cast("long"))
+    cells = binned.groupBy(*keys).agg(F.count("*").alias(ROWS))
+    session = rows.sparkSession
+    parts = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    # A fixed layout, so that the draws of a seed repeat.
+    return cells.repartition(parts, *keys).sortWithinPartitions(*keys)
+
+
+def weighted(cells: DataFrame, unit: float | None) -> DataFrame:
+    """Cells as weighted rows, none heavier than ``unit`` rows; a cell gives at most ``DRAWS`` of them."""
+    if unit is None:
+        return cells.withColumn(WEIGHT, F.col(ROWS).cast("double"))
+    parts = F.ceil(F.col(ROWS) / F.lit(float(unit))).cast("int")
+    return cells.withColumn(WEIGHT, F.col(ROWS) / parts).withColumn("_unit", F.explode(F.sequence(F.lit(1), parts))).drop("_unit")
 
 
 @dataclass(frozen=True)
@@ -109,32 +184,58 @@ def fit_model(name: str, train: DataFrame, features: list[str] | None = None, gr
     """Grid search with k-fold cross-validation and a refit on the whole training part.
 
     The fold of a row follows from a digest of ``fold_keys``, by default of its inputs and label, so it is the same however
-    the rows are partitioned; equal rows share a fold. The used columns are landed in the shared folder once, which the many
-    passes of the search read; nothing of them is held by the executors for longer than MLlib does itself.
+    the rows are partitioned; equal rows share a fold. The used columns are landed in the shared folder once.
+
+    A tree sees of a feature only its range between two candidate thresholds, at most ``maxBins`` of them. Rows equal in all
+    ranges, label and fold are therefore counted, and every fit and measure takes them as one row with that weight. Thresholds
+    come from the quantiles of all rows, without labels; medians for missing values from the rows each fit is given.
+    Forests draw rows, so a weight is split for them into units: single rows up to ``DRAWS`` rows, beyond that at
+    least as many units. Settings that count rows (``minInstancesPerNode`` above 1) get single rows.
     """
     spec = MODELS[name]
+    session = train.sparkSession
     wanted = spec.default_features if features is None else features
     present = [f for f in wanted if f in train.columns]
     labelled = train.filter(F.col(spec.label).isNotNull())
-    path = shared_dir(train.sparkSession, "fit-rows")
+    path = shared_dir(session, "fit-rows")
     labelled.select(*present, spec.label, fold_of(fold_keys or [*present, spec.label], folds, seed).alias(FOLD)).write.parquet(path)
-    rows = train.sparkSession.read.parquet(path)
+    rows = session.read.parquet(path)
     used, dropped = usable_features(rows, wanted)
-    estimator = spec.estimator(labelCol=spec.label, featuresCol="features", seed=seed)
+    estimator = spec.estimator(labelCol=spec.label, featuresCol="features", weightCol=WEIGHT, seed=seed)
     builder = ParamGridBuilder()
     for param, values in (grid or spec.grid).items():
         builder = builder.addGrid(estimator.getParam(param), values)
-    search = CrossValidator(
-        estimator=Pipeline(stages=preparation(used) + [estimator]), estimatorParamMaps=builder.build(),
-        evaluator=spec.evaluator(), numFolds=folds, seed=seed, parallelism=parallelism, foldCol=FOLD,
-    )
+    candidates, evaluator = builder.build(), spec.evaluator()
+    setting = lambda name: [c.get(estimator.getParam(name), estimator.getOrDefault(name)) for c in candidates]
+
     started = time.monotonic()
-    fitted = search.fit(rows)
+    edges = bin_edges(rows, used, max(setting("maxBins")))
+    cells = equal_rows(rows, edges, spec.label, single=max(setting("minInstancesPerNode")) > 1).persist()
+    sizes = {r[FOLD]: r[ROWS] for r in cells.groupBy(FOLD).agg(F.sum(ROWS).alias(ROWS)).collect()}
+    if len(sizes) < folds:
+        raise ValueError(f"only {len(sizes)} of {folds} folds have rows")
+    draws = isinstance(estimator, (RandomForestClassifier, RandomForestRegressor)) or min(setting("subsamplingRate")) < 1
+    unit = max(1.0, sum(sizes.values()) / DRAWS) if draws else None
+    prepared = [preparation(cells.filter(F.col(FOLD) != i), edges) for i in range(folds)]
+
+    def measured(task: tuple[int, dict]) -> float:
+        fold, params = task
+        training, held = cells.filter(F.col(FOLD) != fold), cells.filter(F.col(FOLD) == fold)
+        model = estimator.fit(prepared[fold].transform(weighted(training, unit)), params)
+        return evaluator.evaluate(model.transform(prepared[fold].transform(weighted(held, None))))
+
+    tasks = [(fold, params) for params in candidates for fold in range(folds)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        measures = pool.map(inheritable_thread_target(session)(measured), tasks)
+    metrics = [sum(measures[i:i + folds]) / folds for i in range(0, len(measures), folds)]
+    best = max(metrics) if evaluator.isLargerBetter() else min(metrics)
+    whole = preparation(cells, edges)
+    tree = estimator.fit(whole.transform(weighted(cells, unit)), candidates[metrics.index(best)])
+    model = PipelineModel([binning(edges), *whole.stages, tree])
     seconds = round(time.monotonic() - started, 1)
-    remove(train.sparkSession, path)
-    metrics = fitted.avgMetrics
-    best = max(metrics) if spec.evaluator().isLargerBetter() else min(metrics)
-    return FittedModel(name, fitted.bestModel, used, dropped, best, seconds)
+    cells.unpersist()
+    remove(session, path)
+    return FittedModel(name, model, used, dropped, best, seconds)
 
 
 def save_model(fitted: FittedModel | PipelineModel, path: str) -> None:

@@ -68,6 +68,49 @@ def test_train_predict_report(spark, rows, monkeypatch):
     assert full.n_rows == test.count()
 
 
+def test_equal_rows_are_fitted_once(spark, rows, monkeypatch):
+    few = rows.filter("HR is not null").limit(300).localCheckpoint()
+    many = few.crossJoin(spark.range(20).select("id")).drop("id")
+    given = []
+    estimator = models.MODELS["GBT_Regressor"].estimator
+    fit = estimator.fit
+    monkeypatch.setattr(estimator, "fit", lambda self, df, params=None: given.append(df.count()) or fit(self, df, params))
+    grid, features = {"maxIter": [2], "maxDepth": [2]}, ["etCO2", "NBP_Sys", "NBP_Dia", "RR", "Num_Patient_Alarms"]
+    once, often = (models.fit_model("GBT_Regressor", df, features, grid, folds=2) for df in (few, many))
+    assert given and max(given) <= 300
+    assert often.cv_metric == pytest.approx(once.cv_metric, rel=1e-9)
+    predicted = [f.model.transform(few).select("row_key", F.round("prediction", 6).alias("p")) for f in (once, often)]
+    assert predicted[0].exceptAll(predicted[1]).count() == 0
+    given.clear()
+    models.fit_model("GBT_Regressor", many, features, {**grid, "minInstancesPerNode": [5]}, folds=2)
+    assert max(given) == 6000
+
+
+def test_units_of_a_forest(spark, monkeypatch):
+    cells = spark.createDataFrame([(1, 7), (2, 1000), (3, 1)], f"cell int, {models.ROWS} long")
+    assert models.weighted(cells, 1.0).count() == 1008
+    units = models.weighted(cells, 10.0).groupBy("cell").agg(
+        F.count("*").alias("n"), F.sum(models.WEIGHT).alias("w"), F.max(models.WEIGHT).alias("top")).orderBy("cell").collect()
+    assert [(r.n, round(r.w, 9)) for r in units] == [(1, 7), (100, 1000), (1, 1)] and max(r.top for r in units) <= 10
+    assert [r[models.WEIGHT] for r in models.weighted(cells, None).orderBy("cell").collect()] == [7, 1000, 1]
+
+
+def test_ranges_of_features(spark):
+    df = spark.range(10000).select(
+        F.col("id").cast("double").alias("wide"), (F.col("id") % 3).cast("int").alias("few"),
+        F.when(F.col("id") % 2 == 0, 0.0).otherwise(F.col("id")).alias("half"),
+        F.when(F.col("id") % 5 == 0, float("nan")).when(F.col("id") % 5 == 1, 4.0).alias("gaps"))
+    edges = models.bin_edges(df, df.columns, 32)
+    assert edges["few"] == [0.5, 1.5] and edges["gaps"] == [] and 30 <= len(edges["wide"]) <= 31
+    binned = models.binning(edges).transform(df)
+    sizes = binned.groupBy("wide_bin").count().agg(F.min("count"), F.max("count")).first()
+    assert 250 <= sizes[0] and sizes[1] <= 380
+    zero = binned.groupBy("half_bin").agg(F.min("half").alias("lo"), F.max("half").alias("hi"), F.count("*").alias("n")).orderBy("half_bin").first()
+    assert (zero.lo, zero.hi, zero.n) == (0, 0, 5000)
+    gaps = models.preparation(binned.withColumn(models.ROWS, F.lit(1).cast("long")), edges).transform(binned)
+    assert {r[0] for r in gaps.select("gaps_imp").distinct().collect()} == {1}
+
+
 def test_folds_do_not_follow_partitions(rows):
     folds = lambda df: df.select("row_key", models.fold_of(["row_key"], 3, 11).alias("f")).exceptAll(
         df.repartition(7).select("row_key", models.fold_of(["row_key"], 3, 11).alias("f"))).count()

@@ -44,6 +44,8 @@ FOLD = "_fold"
 ROWS, WEIGHT = "_rows", "_weight"
 # The rows a bootstrap draws at least, one by one: only tables with more are drawn in units of several equal rows.
 DRAWS = 1 << 20
+# Cells in one task of a fit, about.
+TASK_CELLS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -86,25 +88,27 @@ def usable_features(df: DataFrame, features: list[str]) -> tuple[list[str], list
 
 
 def bin_edges(rows: DataFrame, features: list[str], bins: int) -> dict[str, list[float]]:
-    """Inner bounds of at most ``bins`` ranges of each feature, from all rows, in two aggregate rows.
+    """Inner bounds of at most ``bins`` ranges of each feature, from all rows, in two aggregate rows, seldom three.
 
     A feature with few values has a bound between any two of them, others at their quantiles; a value that fills several
-    quantiles gets a range of its own.
+    quantiles gets a range of its own. Quantiles are taken of features with more values only.
     """
     number = {f: F.nanvl(F.col(f).cast("double"), F.lit(None)) for f in features}
     distinct = rows.agg(*[F.approx_count_distinct(number[f]).alias(f) for f in features]).first()
     # The count is off by a few percent, so sets stay small.
     few = [f for f in features if distinct[f] <= 1.25 * bins]
     shares = [i / bins for i in range(1, bins)]
-    found = rows.agg(
-        *[F.percentile_approx(number[f], shares).alias(f) for f in features],
-        *[F.collect_set(number[f]).alias(f"{f}_values") for f in few],
-    ).first()
+    quantiles_of = lambda f: F.percentile_approx(number[f], shares).alias(f)
+    found = rows.agg(*[F.collect_set(number[f]).alias(f) if f in few else quantiles_of(f) for f in features]).first().asDict()
+    values = {f: sorted(found[f]) for f in few}
+    # Sets just above the limit, which the count took for small ones.
+    beyond = [f for f in few if len(values[f]) > bins]
+    if beyond:
+        found |= rows.agg(*[quantiles_of(f) for f in beyond]).first().asDict()
     edges = {}
     for f in features:
-        values = sorted(found[f"{f}_values"]) if f in few else []
-        if 0 < len(values) <= bins:
-            edges[f] = sorted({_between(a, b) for a, b in zip(values, values[1:])})
+        if f in few and f not in beyond:
+            edges[f] = sorted({_between(a, b) for a, b in zip(values[f], values[f][1:])})
         else:
             quantiles = Counter(found[f] or [])
             edges[f] = sorted({*quantiles, *[math.nextafter(q, math.inf) for q, n in quantiles.items() if n > 1]} - {-math.inf, math.inf})
@@ -148,10 +152,16 @@ def equal_rows(rows: DataFrame, edges: dict[str, list[float]], label: str, singl
     binned = binning(edges).transform(rows).select(*ranges, label, FOLD)
     if single:
         return binned.withColumn(ROWS, F.lit(1).cast("long"))
-    cells = binned.groupBy(*keys).agg(F.count("*").alias(ROWS))
-    session = rows.sparkSession
-    parts = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
-    # A fixed layout, so that the draws of a seed repeat.
+    return binned.groupBy(*keys).agg(F.count("*").alias(ROWS))
+
+
+def laid_out(cells: DataFrame, number: int) -> DataFrame:
+    """Cells dealt to tasks by their own number, in a fixed layout, so that the draws of a seed repeat.
+
+    Every pass of a fit starts that many tasks. Shuffle partitions follow the size of the table, cells hardly do.
+    """
+    keys = [c for c in cells.columns if c != ROWS]
+    parts = max(cells.sparkSession.sparkContext.defaultParallelism, math.ceil(number / TASK_CELLS))
     return cells.repartition(parts, *keys).sortWithinPartitions(*keys)
 
 
@@ -210,10 +220,13 @@ def fit_model(name: str, train: DataFrame, features: list[str] | None = None, gr
 
     started = time.monotonic()
     edges = bin_edges(rows, used, max(setting("maxBins")))
-    cells = equal_rows(rows, edges, spec.label, single=max(setting("minInstancesPerNode")) > 1).persist()
-    sizes = {r[FOLD]: r[ROWS] for r in cells.groupBy(FOLD).agg(F.sum(ROWS).alias(ROWS)).collect()}
+    single = max(setting("minInstancesPerNode")) > 1
+    counted = equal_rows(rows, edges, spec.label, single).persist()
+    per_fold = counted.groupBy(FOLD).agg(F.sum(ROWS).alias(ROWS), F.count("*").alias("cells")).collect()
+    sizes = {r[FOLD]: r[ROWS] for r in per_fold}
     if len(sizes) < folds:
         raise ValueError(f"only {len(sizes)} of {folds} folds have rows")
+    cells = counted if single else laid_out(counted, sum(r["cells"] for r in per_fold)).persist()
     draws = isinstance(estimator, (RandomForestClassifier, RandomForestRegressor)) or min(setting("subsamplingRate")) < 1
     unit = max(1.0, sum(sizes.values()) / DRAWS) if draws else None
     prepared = [preparation(cells.filter(F.col(FOLD) != i), edges) for i in range(folds)]
@@ -234,6 +247,7 @@ def fit_model(name: str, train: DataFrame, features: list[str] | None = None, gr
     model = PipelineModel([binning(edges), *whole.stages, tree])
     seconds = round(time.monotonic() - started, 1)
     cells.unpersist()
+    counted.unpersist()
     remove(session, path)
     return FittedModel(name, model, used, dropped, best, seconds)
 

@@ -111,6 +111,39 @@ def test_ranges_of_features(spark):
     assert {r[0] for r in gaps.select("gaps_imp").distinct().collect()} == {1}
 
 
+def test_quantiles_of_features_with_many_values(spark, monkeypatch):
+    df = spark.range(9000).select(
+        F.col("id").cast("double").alias("wide"), (F.col("id") % 3).alias("few"), (F.col("id") % 36).alias("above"),
+        F.lit(None).cast("double").alias("none"))
+    asked = []
+    taken = F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda *given: asked.append(given) or taken(*given))
+    edges = models.bin_edges(df, df.columns, 32)
+    assert len(asked) == 2
+    assert edges["few"] == [0.5, 1.5] and edges["none"] == [] and 30 <= len(edges["wide"]) <= 31
+    assert 25 <= len(edges["above"]) <= 31 and {e for e in edges["above"] if e == int(e)} <= set(range(36))
+
+
+@pytest.mark.parametrize("name", ["RF_Regressor"])
+def test_tasks_of_a_fit_follow_its_cells(spark, rows, monkeypatch, name):
+    parts = []
+    estimator = models.MODELS[name].estimator
+    fit = estimator.fit
+    monkeypatch.setattr(estimator, "fit", lambda self, df, params=None: parts.append(df.rdd.getNumPartitions()) or fit(self, df, params))
+    grid = {"numTrees": [2], "maxDepth": [2]} if name.startswith("RF") else {"maxIter": [1], "maxDepth": [2]}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        models.fit_model(name, rows, ["etCO2", "NBP_Sys", "RR"], grid, folds=2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts == [spark.sparkContext.defaultParallelism] * 3
+    cells = spark.range(900).select(F.col("id").alias("range"), F.lit(1).alias(models.ROWS))
+    monkeypatch.setattr(models, "TASK_CELLS", 100)
+    dealt = models.laid_out(cells, 900)
+    assert dealt.rdd.getNumPartitions() == 9 and dealt.exceptAll(cells).count() == 0 and dealt.count() == 900
+
+
 def test_folds_do_not_follow_partitions(rows):
     folds = lambda df: df.select("row_key", models.fold_of(["row_key"], 3, 11).alias("f")).exceptAll(
         df.repartition(7).select("row_key", models.fold_of(["row_key"], 3, 11).alias("f"))).count()

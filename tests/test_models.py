@@ -124,7 +124,7 @@ def test_quantiles_of_features_with_many_values(spark, monkeypatch):
     assert 25 <= len(edges["above"]) <= 31 and {e for e in edges["above"] if e == int(e)} <= set(range(36))
 
 
-@pytest.mark.parametrize("name", ["RF_Regressor", "RF_Classifier"])
+@pytest.mark.parametrize("name", ["RF_Regressor", "RF_Classifier", "GBT_Classifier"])
 def test_tasks_of_a_fit_follow_its_cells(spark, rows, monkeypatch, name):
     parts = []
     estimator = models.MODELS[name].estimator
